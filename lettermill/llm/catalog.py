@@ -24,9 +24,57 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lettermill.llm.secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents")).drop("_row", "ranges")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lettermill.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
+OP9_SQL = r"""
+WITH sizes AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+), ranked AS (
+  SELECT source, source_size, 2.0 * source_size AS cap,
+         CASE k % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END AS weight,
+         CASE k % 3 WHEN 0 THEN -0.5 WHEN 1 THEN 0.0 ELSE 0.5 END AS tilt, k
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k
+        FROM sizes GROUP BY source)
+), leveled AS (
+  SELECT *, ((sum(source_size) OVER ()) * CAST(1.5 AS DOUBLE) - coalesce(sum(cap) OVER before, 0.0))
+          / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER before, 0.0)) AS level
+  FROM (SELECT source, source_size, CAST(cap AS DOUBLE) AS cap, CAST(weight AS DOUBLE) AS weight, CAST(tilt AS DOUBLE) AS tilt, k FROM ranked)
+  WINDOW before AS (ORDER BY cap / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size, tilt, coalesce(least(cap, weight * (
+    SELECT level FROM leveled WHERE cap >= level * weight ORDER BY cap / weight, k LIMIT 1)), cap) AS target
+  FROM leveled
+), placed AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.tilt,
+         CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source
+           ORDER BY md5(concat_ws(':', coalesce(CAST(s.doc_id AS VARCHAR), ''), CAST(s.size AS VARCHAR))), s.doc_id, s.size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), taken AS (
+  SELECT *, greatest(0, least(size, CAST(floor(target) AS BIGINT) - start)) AS first_pass,
+         greatest(0, least(size, CAST(floor(target) AS BIGINT) - source_size - start)) AS second_pass,
+         CAST(start AS DOUBLE) / target AS share
+  FROM placed
+)
+SELECT doc_id, size, source_size, target, CAST(first_pass + second_pass AS BIGINT) AS taken,
+       CASE WHEN first_pass > 0 THEN (share * 2.0) / ((1.0 - tilt) + sqrt((1.0 - tilt) * (1.0 - tilt) + tilt * share * 4.0)) END AS position
+FROM taken
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_mixing": OP9_SQL}
