@@ -30,6 +30,13 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents")).drop("_row", "ranges")
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lettermill.llm.simhash import hex_digits, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lettermill.llm.mixing import mix
 
