@@ -24,6 +24,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lettermill.llm.warc import round_trip
+
+    return round_trip(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lettermill.llm.secrets import find_secrets
 
@@ -47,6 +53,12 @@ def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lettermill.llm.merkle import compare_neighbours
+
+    return compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
