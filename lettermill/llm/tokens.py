@@ -10,59 +10,63 @@ import os
 
 import numpy as np
 
-SPECIAL = "<|endoftext|>"
-SPECIAL_ID = 49407
-MEMO_WORDS = 400_000
-TAIL = b",.;:!?"
+MEMO_WORDS = 300_000
+#: Punctuation that, standing last in a word after a letter or digit, is a token run of its own.
+TAIL = b",.;:!?$&%*#"
+
+
+def byte_symbols() -> list[str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest follow from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
 class WordIds:
-    """encode(text bytes) -> little-endian uint32 ids, as bytes; equal to encoding the whole text."""
+    """encode(text bytes) -> little-endian uint32 ids, as bytes; equal to encoding the whole text.
+
+    Words of Latin-1 letters go straight to the vocabulary's merge model: they are in normal form, so only
+    lower case and the byte alphabet are left to do. Other words go through the whole tokenizer. The memo
+    has two generations, so its size is bounded and frequent words stay.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.symbols = byte_symbols()
         self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {b"": b""}
 
-    def _direct(self, word: bytes) -> bytes:
+    def _whole(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn_cores(self, cores: list[bytes]) -> None:
-        for i in range(0, len(cores), 512):
-            part = cores[i : i + 512]
-            text = SPECIAL.join(w.decode() for w in part)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            raw, a = ids.tobytes(), 0
-            for w, b in zip(part, [*np.flatnonzero(ids == SPECIAL_ID).tolist(), len(ids)], strict=True):
-                self.cores[w] = raw[4 * a : 4 * b]
-                a = b + 1
-
-    def _split(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word as (core, tail of punctuation): a tail after a letter or digit is a token run of its own."""
+    def _letters(self, text: str) -> bytes:
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(text)])
+
+    def _ids(self, word: bytes) -> bytes:
         core = word.rstrip(TAIL)
-        if core and core.isalnum():
-            return core.lower(), word[len(core) :]
-        if core and len(core) < len(word) and core.decode()[-1].isalpha():
-            return core, word[len(core) :]
-        return word, b""
+        tail = word[len(core) :]
+        if core.isalpha():
+            ids = self._letters(core.lower().decode())
+        elif core and (text := core.decode()).isalpha() and max(text) <= "\u00ff":
+            ids = self._letters("".join([self.symbols[b] for b in text.lower().encode()]))
+        else:
+            return self._whole(word)
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {b"": b""}
+            self.tails[tail] = self._whole(tail)
+        return ids + self.tails[tail]
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.words) > MEMO_WORDS:
-            self.words.clear()
-            self.cores.clear()
-            self.words.clear()
-        new = words - self.words.keys()
-        odd = {w for w in new if b"<|" in w}
-        parts = {w: self._split(w) for w in new - odd}
-        self._learn_cores(sorted({p for pair in parts.values() for p in pair if p} - self.cores.keys()))
-        self.cores[b""] = b""
-        for w, (core, tail) in parts.items():
-            self.words[w] = self.cores[core] + self.cores[tail]
-        for w in odd:
-            self.words[w] = self._direct(w)
+            self.older, self.words = self.words, {}
+        for w in words - self.words.keys():
+            self.words[w] = self.older.get(w) or self._ids(w)
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of many texts; learns words a bounded stretch of texts at a time."""
