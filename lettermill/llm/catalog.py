@@ -36,6 +36,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lettermill.llm.neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lettermill.llm.secrets import find_secrets
 
