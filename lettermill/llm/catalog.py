@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lettermill.session import table
 
@@ -18,6 +19,15 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lettermill.llm.urlfilter import changes_by_rule, dated_captures, judge
+
+    pages = table(spark, sf_dir, "pages")
+    said = judge(dated_captures(pages), changes_by_rule(pages))
+    second = lambda c: F.unix_seconds(c).alias(c)
+    return said.select("page_id", "host", second("fetched_at"), "verdict", "pattern", second("since"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lettermill.llm.packing import pack_documents
 
@@ -71,6 +81,40 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+OP1_SQL = r"""
+WITH captures AS (
+  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path,
+         1704067200 + (page_id * 7919) % 31622400 AS moment
+  FROM pages
+), hosts AS (
+  SELECT DISTINCT host, strpos('0123456789abcdef', substr(md5(host), 1, 1)) - 1 AS kind,
+         1704067200 + 86400 * (16 * (strpos('0123456789abcdef', substr(md5(host), 2, 1)) - 1) + strpos('0123456789abcdef', substr(md5(host), 3, 1)) - 1) AS day
+  FROM captures WHERE host <> ''
+), changes AS (
+  SELECT host AS pattern, 'block' AS action, 'add' AS change, day AS moment FROM hosts WHERE kind < 4
+  UNION SELECT host, 'block', 'remove', day + 60 * 86400 FROM hosts WHERE kind < 4
+  UNION SELECT host, 'block', 'add', day + 120 * 86400 FROM hosts WHERE kind < 4
+  UNION SELECT regexp_replace(host, '^[^.]*\.', ''), 'block', 'add', day FROM hosts WHERE kind IN (4, 5)
+  UNION SELECT host || '/en/', 'block', 'add', day FROM hosts WHERE kind IN (6, 7)
+  UNION SELECT host, 'allow', 'add', day FROM hosts WHERE kind IN (8, 9)
+  UNION SELECT host, 'allow', 'remove', day + 200 * 86400 FROM hosts WHERE kind IN (8, 9)
+), spans AS (
+  SELECT pattern, action, change, moment AS since,
+         lead(moment) OVER (PARTITION BY pattern ORDER BY moment, CASE WHEN change = 'remove' THEN 1 ELSE 0 END, action) AS until
+  FROM changes
+), found AS (
+  SELECT c.page_id, s.pattern, s.action, s.since,
+         row_number() OVER (PARTITION BY c.page_id ORDER BY contains(s.pattern, '/') DESC,
+           length(split_part(s.pattern, '/', 1)) - length(replace(split_part(s.pattern, '/', 1), '.', '')) DESC, s.action, s.pattern DESC) AS rank
+  FROM captures c JOIN spans s ON s.change = 'add' AND (s.until IS NULL OR s.until > s.since)
+    AND s.since <= c.moment AND (s.until IS NULL OR c.moment < s.until)
+    AND (c.host = s.pattern OR ends_with(c.host, '.' || s.pattern) OR starts_with(c.host || c.path, s.pattern) AND contains(s.pattern, '/'))
+)
+SELECT c.page_id, c.host, CAST(c.moment AS BIGINT) AS fetched_at, coalesce(f.action, 'none') AS verdict, f.pattern, CAST(f.since AS BIGINT) AS since
+FROM captures c LEFT JOIN found f ON f.page_id = c.page_id AND f.rank = 1
+"""
+
 OP9_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
@@ -108,4 +152,4 @@ FROM taken
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": OP9_SQL}
+    return {"op1_url_filters": OP1_SQL, "op9_mixing": OP9_SQL}
