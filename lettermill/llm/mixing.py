@@ -18,6 +18,8 @@ where nothing is taken.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ BUDGET = 1.5
 MOST_EPOCHS = 2
 #: Linear tilt of a source's schedule, by rank: its share of the mix starts at 1 - tilt and ends at 1 + tilt times its mean.
 TILTS = (-0.5, 0.0, 0.5)
-BUCKET_ROWS = 20_000
+LEAST_BUCKET_ROWS = 1000
 
 
 def word_count(text: Column) -> Column:
@@ -62,20 +64,19 @@ def training_time(share: Column, tilt: Column) -> Column:
 
 
 def placed(sizes: DataFrame, **settings) -> DataFrame:
-    """One row for each (doc_id, source, size) row: taken words, first position, and place in the stream."""
+    """One row for each row (doc_id, source, size, copies, _row), copies told apart: taken words, first position, and place in the stream."""
     rows = sizes.agg(F.count("*")).first()[0]
-    buckets = max(1, -(-rows // BUCKET_ROWS))
-    order = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")).cast("binary"))
-    grouped = sizes.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"))
-    grouped = grouped.withColumn("order", order).withColumn("bucket", F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") * buckets / float(1 << 32)).cast("long"))
+    buckets = max(1, rows // max(LEAST_BUCKET_ROWS, math.isqrt(rows)))  # neither level of sums has a long window
+    order = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"), F.col("_row").cast("string")).cast("binary"))
+    grouped = sizes.withColumn("order", order).withColumn("bucket", F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") * buckets / float(1 << 32)).cast("long"))
     sums = grouped.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
     by_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("source", "bucket", F.coalesce(F.sum("words").over(by_source), F.lit(0)).alias("base"))
     targets = source_targets(sizes, **settings)
     bases = bases.alias("b").join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select("b.source", "bucket", "base", "source_size", "tilt", "target")
-    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size", "_row").rowsBetween(Window.unboundedPreceding, -1)
     spread = grouped.withColumn("inner", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(within), F.lit(0)))
-    joined = spread.alias("d").join(bases.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket"))).select("d.doc_id", "d.source", "size", "copies", "inner", "base", "source_size", "tilt", "target")
+    joined = spread.alias("d").join(bases.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket"))).select("d.doc_id", "d.source", "size", "copies", "_row", "inner", "base", "source_size", "tilt", "target")
     each = joined.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
     each = each.withColumn("start", F.col("base") + F.col("inner") + F.col("copy") * F.col("size"))
     goal = F.floor("target")
@@ -89,7 +90,7 @@ def placed(sizes: DataFrame, **settings) -> DataFrame:
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and how many equal rows there are; the texts are read once."""
     sizes = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"))
-    return materialize(sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies")), "sizes")
+    return materialize(sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies")).withColumn("_row", F.lit(None).cast("long")), "sizes")
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
@@ -100,19 +101,17 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix as documents: a row for each pass over a document, cut to the words taken, by position."""
-    size = word_count(F.col("text"))
-    plan = placed(sized(docs), **settings).filter("taken > 0")
-    passes = plan.select("doc_id", "source", "size", "copy", F.explode(F.array(F.struct(F.col("first_pass").alias("words"), F.col("position").alias("at")), F.struct(F.col("second_pass").alias("words"), F.col("second_position").alias("at")))).alias("p"))
-    passes = passes.filter("p.words > 0").select("doc_id", "source", "size", "copy", "p.words", "p.at")
-    same = Window.partitionBy("doc_id", "source", "_size").orderBy("text", "lang")
-    numbered = docs.withColumn("_size", size).withColumn("_copy", F.row_number().over(same) - 1)
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    sizes = numbered.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.lit(1).cast("long").alias("copies"), "_row")
+    plan = placed(materialize(sizes, "sizes"), **settings).filter("taken > 0")
+    each_pass = F.array(*[F.struct(F.col(w).alias("words"), F.col(at).alias("at")) for w, at in (("first_pass", "position"), ("second_pass", "second_position"))])
+    passes = plan.select(F.col("_row").alias("_of"), "size", F.explode(each_pass).alias("p")).filter("p.words > 0").select("_of", "size", "p.words", "p.at")
     names = docs.columns
-    on = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d._size") == F.col("p.size")) & (F.col("d._copy") == F.col("p.copy"))
-    joined = numbered.alias("d").join(passes.alias("p"), on)
+    joined = numbered.alias("d").join(passes.alias("p"), F.col("d._row") == F.col("p._of"))
     gaps = F.split("d.text", WORD, -1)
     words = F.regexp_extract_all("d.text", F.lit(WORD), F.lit(0))
     head = F.array_join(F.zip_with(F.slice(gaps, F.lit(1), F.col("p.words").cast("int")), F.slice(words, F.lit(1), F.col("p.words").cast("int")), lambda g, w: F.concat(g, w)), "")
-    text = F.when(F.col("p.words") < F.col("d._size"), head).otherwise(F.col("d.text"))
+    text = F.when(F.col("p.words") < F.col("p.size"), head).otherwise(F.col("d.text"))
     cut = joined.select(*[text.alias("text") if c == "text" else F.col(f"d.{c}") for c in names], F.col("p.at").alias("_at"))
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
