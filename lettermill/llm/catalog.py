@@ -58,6 +58,12 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents")).drop("_row", "ranges")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lettermill.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lettermill.llm.simhash import hex_digits, near_duplicates
 
