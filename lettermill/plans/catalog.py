@@ -1,11 +1,521 @@
-"""Named queries of the archive operators."""
+"""Named queries of the archive operators on the driver's tables, each with the SQL that states it."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from lettermill.functions import ids, mail, text
+from lettermill.operators import dedup, mentions, tallies, threads, validate
+from lettermill.operators.components import connected_components
+from lettermill.session import materialize, table
 
-def oracle_sql():
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    def keep(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+# ---- identifiers and mentions: page links stand in for identifiers, pages for messages ----
+
+_LINKS = r"""links AS (SELECT DISTINCT page_id, url, unnest(regexp_extract_all(html, 'href="/([A-Za-z]+)"', 1)) AS id FROM pages)"""
+
+
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages")
+    named = F.array_distinct(F.regexp_extract_all("html", F.lit('href="/([A-Za-z]+)"'), F.lit(1)))
+    return mentions.mentions(pages.select("page_id", "url", named.alias("ids")), "ids", ["page_id", "url"])
+
+
+@query(f"WITH {_LINKS} SELECT id, min(page_id) AS page_id, arg_min(url, page_id) AS url FROM links GROUP BY id")
+def q1_first_mention(spark, d):
+    return mentions.first_mentions(_links(spark, d), ["page_id"], ["page_id", "url"])
+
+
+@query(f"WITH {_LINKS} SELECT id, page_id, url FROM links WHERE id = 'the'")
+def q2_mentions_of_id(spark, d):
+    return _links(spark, d).filter("id = 'the'")
+
+
+@query("""SELECT page_id, url FROM pages WHERE list_contains(regexp_extract_all(html, 'href="/([A-Za-z]+)"', 1), 'and')""")
+def q3_messages_with_id(spark, d):
+    named = F.regexp_extract_all("html", F.lit('href="/([A-Za-z]+)"'), F.lit(1))
+    return table(spark, d, "pages").filter(F.array_contains(named, "and")).select("page_id", "url")
+
+
+@query("SELECT doc_id, text FROM documents WHERE doc_id = 42")
+def q4_body_by_id(spark, d):
+    return table(spark, d, "documents").filter("doc_id = 42").select("doc_id", "text")
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE conv_id = 7")
+def q5_whole_thread(spark, d):
+    return table(spark, d, "conversations").filter("conv_id = 7").select("conv_id", "turn", "role")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS stored, CAST(count(DISTINCT text) AS BIGINT) AS messages, CAST(count(*) - count(DISTINCT text) AS BIGINT) AS duplicates FROM documents")
+def q6_headline_totals(spark, d):
+    docs = table(spark, d, "documents")
+    return docs.agg(F.count("*").alias("stored"), F.countDistinct("text").alias("messages"), (F.count("*") - F.countDistinct("text")).alias("duplicates"))
+
+
+@query("SELECT source, doc_id FROM documents WHERE regexp_matches(lower(text), '\\bthe\\b') AND source = 'src3'")
+def q8_term_search(spark, d):
+    # A term within a field: bounded in ASCII, like identifiers.
+    term = F.lower("text").rlike(r"(?<![A-Za-z0-9_])the(?![A-Za-z0-9_])")
+    return table(spark, d, "documents").filter(term & (F.col("source") == "src3")).select("source", "doc_id")
+
+
+_SHARDS = "SELECT strftime(o_orderdate, '%Y') AS shard, CAST(count(*) AS BIGINT) AS n, md5(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)) AS digest FROM orders"
+
+
+def _order_shards(orders: DataFrame) -> DataFrame:
+    keys = F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: x.cast("string")), ",")
+    return orders.groupBy(F.date_format("o_orderdate", "yyyy").alias("shard")).agg(F.count("*").alias("n"), F.md5(keys.cast("binary")).alias("digest"))
+
+
+@query(f"""WITH old AS ({_SHARDS} WHERE o_orderdate < '1999-06-01' GROUP BY 1), new AS ({_SHARDS} GROUP BY 1)
+SELECT coalesce(o.shard, n.shard) AS shard, o.n AS old_n, n.n AS new_n FROM old o FULL JOIN new n ON o.shard = n.shard WHERE o.digest IS DISTINCT FROM n.digest""")
+def q9_changed_shards(spark, d):
+    orders = table(spark, d, "orders")
+    old = _order_shards(orders.filter("o_orderdate < timestamp_ntz'1999-06-01'")).select("shard", F.col("n").alias("old_n"), F.col("digest").alias("old_digest"))
+    new = _order_shards(orders).select("shard", F.col("n").alias("new_n"), "digest")
+    return old.join(new, "shard", "full_outer").filter(~F.col("old_digest").eqNullSafe(F.col("digest"))).select("shard", "old_n", "new_n")
+
+
+_MENTIONS = "SELECT DISTINCT l_partkey AS id, l_orderkey AS mid, o_orderdate AS ts FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+
+
+def _part_mentions(spark, d) -> DataFrame:
+    lines = table(spark, d, "lineitem").select(F.col("l_partkey").alias("id"), F.col("l_orderkey").alias("mid")).distinct()
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("mid"), F.col("o_orderdate").alias("ts"))
+    return lines.join(orders, "mid")
+
+
+@query(f"WITH m AS ({_MENTIONS}) SELECT id, string_agg(CAST(mid AS VARCHAR), ',' ORDER BY ts, mid) AS mentions FROM m GROUP BY id")
+def a5_inverted_index(spark, d):
+    lists = mentions.inverted(_part_mentions(spark, d), ["ts", "mid"], ["mid"])
+    return lists.select("id", F.array_join(F.transform("mentions", lambda m: m["mid"].cast("string")), ",").alias("mentions"))
+
+
+@query(f"WITH m AS ({_MENTIONS}) SELECT id, min(strftime(ts, '%Y')) AS first_year, CAST(count(*) AS BIGINT) AS n FROM m GROUP BY id")
+def w5_first_year(spark, d):
+    return _part_mentions(spark, d).groupBy("id").agg(F.min(F.date_format("ts", "yyyy")).alias("first_year"), F.count("*").alias("n"))
+
+
+@query("""SELECT strftime(o_orderdate, '%Y') AS shard, o_orderkey AS mid, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS date,
+CAST(row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y') ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS row_no FROM orders""")
+def k1_year_shards(spark, d):
+    rows = table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy").alias("shard"), F.col("o_orderkey").alias("mid"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"), F.col("o_orderdate").alias("ts"))
+    return rows.withColumn("row_no", F.row_number().over(Window.partitionBy("shard").orderBy("ts", "mid")).cast("long")).drop("ts")
+
+
+@query(f"""WITH m AS ({_MENTIONS}), s AS (SELECT id % 10 AS shard, id, mid, ts FROM m), e AS (SELECT shard, id, string_agg(CAST(mid AS VARCHAR), ',' ORDER BY ts, mid) AS list FROM s GROUP BY shard, id)
+SELECT shard, CAST(count(*) AS BIGINT) AS ids, sha256(string_agg(CAST(id AS VARCHAR) || ':[' || list || ']', chr(10) ORDER BY id)) AS digest FROM e GROUP BY shard""")
+def k3_id_shards(spark, d):
+    lists = mentions.inverted(_part_mentions(spark, d), ["ts", "mid"], ["mid"])
+    line = F.concat(F.col("id").cast("string"), F.lit(":["), F.array_join(F.transform("mentions", lambda m: m["mid"].cast("string")), ","), F.lit("]"))
+    each = lists.select((F.col("id") % 10).alias("shard"), "id", line.alias("line"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "line"))), lambda x: x["line"]), "\n")
+    return each.groupBy("shard").agg(F.count("*").alias("ids"), F.sha2(body.cast("binary"), 256).alias("digest"))
+
+
+@query("""SELECT lang AS shard, CAST(count(*) AS BIGINT) AS n, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
+sha256(string_agg(sha256(text), chr(10) ORDER BY doc_id)) AS digest FROM documents GROUP BY lang""")
+def a4_shard_manifest(spark, d):
+    # The digest of a shard is over its rows' digests in order, so no task holds a shard's texts.
+    rows = table(spark, d, "documents").select("lang", "doc_id", F.octet_length("text").cast("long").alias("bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "sha"))), lambda x: x["sha"]), "\n")
+    return rows.groupBy(F.col("lang").alias("shard")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.sha2(ordered.cast("binary"), 256).alias("digest"))
+
+
+# ---- copies: equal normal forms of documents are copies, the source gives the provenance, doc_id the order ----
+
+_COPIES = r"""copies AS (SELECT sha256(trim(regexp_replace(text, '[ \t\n\r\f\x0B]+', ' ', 'g'))) AS mid, doc_id AS seq,
+CASE source WHEN 'src0' THEN 1 WHEN 'src1' THEN 2 WHEN 'src2' THEN 3 ELSE 4 END AS rank, source, text FROM documents)"""
+_RANKED = _COPIES + ", ranked AS (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY rank, seq DESC) AS place FROM copies)"
+
+
+def _copies(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return docs.select(F.sha2(text.fold(F.col("text")).cast("binary"), 256).alias("mid"), F.col("doc_id").alias("seq"), dedup.provenance_rank(F.col("source"), ("src0", "src1", "src2")).alias("rank"), "source", "text")
+
+
+@query(f"WITH {_RANKED} SELECT mid, seq, source FROM ranked WHERE place = 1")
+def w1_canonical_copy(spark, d):
+    return dedup.winners(_copies(spark, d), keep=["seq", "source"])
+
+
+@query(f"WITH {_RANKED} SELECT mid, string_agg(CAST(seq AS VARCHAR) || ':' || source, ',' ORDER BY rank, seq DESC) AS duplicates FROM ranked WHERE place > 1 GROUP BY mid")
+def a1_duplicates_list(spark, d):
+    copies = _copies(spark, d).drop("text")
+    lost = dedup.losers(copies, dedup.winners(copies))
+    lists = dedup.duplicate_lists(lost, fields=("seq", "source"))
+    return lists.select("mid", F.array_join(F.transform("duplicates", lambda x: F.concat_ws(":", x["seq"].cast("string"), x["source"])), ",").alias("duplicates"))
+
+
+_NORMAL = r"trim(regexp_replace(regexp_replace(regexp_replace(body, '@[^ \t\n\r\f\x0B<>()\[\]\"\'',;]*', '@', 'g'), '(^|\n)>+From ', '\1From ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g'))"
+_TURNS = r"turns AS (SELECT conv_id % 40 AS mid, conv_id * 100 + turn AS seq, CASE role WHEN 'user' THEN 1 ELSE 2 END AS rank, text AS body, sha256(text) AS full_sha FROM conversations)"
+
+
+def _turns(spark, d) -> DataFrame:
+    turns = table(spark, d, "conversations")
+    return turns.select((F.col("conv_id") % 40).alias("mid"), (F.col("conv_id") * 100 + F.col("turn")).alias("seq"), F.when(F.col("role") == "user", 1).otherwise(2).alias("rank"), F.col("text").alias("body"), F.sha2(F.col("text").cast("binary"), 256).alias("full_sha"))
+
+
+@query(f"""WITH {_TURNS}, r AS (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY rank, seq DESC) AS place, {_NORMAL} AS norm FROM turns)
+SELECT w.mid, bool_or(CASE WHEN strlen(w.norm) <= strlen(l.norm) THEN NOT starts_with(l.norm, w.norm) ELSE NOT starts_with(w.norm, l.norm) END) AS body_conflict
+FROM r w JOIN r l ON w.mid = l.mid AND w.place = 1 AND l.place > 1 AND w.full_sha <> l.full_sha GROUP BY w.mid""")
+def a2_body_conflict(spark, d):
+    turns = _turns(spark, d)
+    won = dedup.winners(turns)
+    return dedup.conflicts(won, dedup.losers(turns, won))
+
+
+@query(f"WITH {_COPIES}, g AS (SELECT mid, count(*) AS n, string_agg(CASE WHEN source = 'src0' THEN 'maildir' ELSE 'scrape' END, '+' ORDER BY CASE WHEN source = 'src0' THEN 'maildir' ELSE 'scrape' END) AS pattern FROM copies GROUP BY mid) SELECT pattern, CAST(count(*) AS BIGINT) AS keys FROM g WHERE n > 1 GROUP BY pattern")
+def a15_dup_census(spark, d):
+    return dedup.census(_copies(spark, d), F.when(F.col("source") == "src0", "maildir").otherwise("scrape"))
+
+
+@query(f"WITH {_COPIES} SELECT mid, seq FROM copies c WHERE source = 'src0' OR NOT EXISTS (SELECT 1 FROM copies o WHERE o.mid = c.mid AND o.source = 'src0')")
+def f9_keep_set(spark, d):
+    return dedup.keep_set(_copies(spark, d), F.col("source") != "src0").select("mid", "seq")
+
+
+@query(f"WITH {_COPIES} SELECT mid, seq FROM copies c WHERE source <> 'src0' AND EXISTS (SELECT 1 FROM copies o WHERE o.mid = c.mid AND o.source = 'src0')")
+def f10_purge_set(spark, d):
+    return dedup.purge_set(_copies(spark, d), F.col("source") != "src0").select("mid", "seq")
+
+
+@query("SELECT doc_id % 3 AS epoch, sha256(text) AS blob, doc_id FROM documents x WHERE NOT EXISTS (SELECT 1 FROM documents y JOIN labels l ON l.doc_id = y.doc_id AND l.toxic = 1 WHERE y.doc_id % 3 = x.doc_id % 3 AND y.text = x.text)")
+def f1_drop_removed(spark, d):
+    stored = table(spark, d, "documents").select((F.col("doc_id") % 3).alias("epoch"), F.sha2(F.col("text").cast("binary"), 256).alias("blob"), "doc_id")
+    removed = stored.join(table(spark, d, "labels").filter("toxic = 1"), "doc_id", "left_semi")
+    return dedup.drop_removed(stored, removed)
+
+
+@query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE contains(d.text, b.text) AND b.item_id % 2 = 0 AND d.text = b.text) AND source = 'src1'")
+def j5_diff_against(spark, d):
+    docs = table(spark, d, "documents").filter("source = 'src1'")
+    return docs.join(table(spark, d, "benchmark").filter("item_id % 2 = 0").select("text"), "text", "left_anti").select("doc_id")
+
+
+@query("""WITH a AS (SELECT sha256(text) AS mid, doc_id AS seq FROM documents WHERE doc_id % 2 = 1), k AS (SELECT sha256(text) AS mid FROM documents WHERE doc_id % 2 = 0)
+SELECT mid, min(seq) AS seq FROM a WHERE mid NOT IN (SELECT mid FROM k) GROUP BY mid""")
+def j6_ingest_precheck(spark, d):
+    stored = table(spark, d, "documents").select(F.sha2(F.col("text").cast("binary"), 256).alias("mid"), F.col("doc_id").alias("seq"))
+    return dedup.unseen(stored.filter("seq % 2 = 1"), stored.filter("seq % 2 = 0"))
+
+
+@query("SELECT doc_id, strlen(text) AS full_bytes, starts_with(text, left(text, 200) || 'x') AS longer, starts_with(text, left(text, 200)) AS prefix FROM documents")
+def j16_prefix_pairs(spark, d):
+    docs = table(spark, d, "documents")
+    short = docs.select(F.col("doc_id"), F.left("text", F.lit(200)).alias("cut"))
+    pairs = docs.select("doc_id", "text").join(short, "doc_id")
+    return pairs.select("doc_id", F.octet_length("text").cast("long").alias("full_bytes"), F.startswith("text", F.concat("cut", F.lit("x"))).alias("longer"), F.startswith("text", "cut").alias("prefix"))
+
+
+# ---- graphs ----
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT 2 * l_orderkey AS a, 2 * l_partkey + 1 AS b FROM lineitem WHERE l_quantity <= 3),
+w AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS seen FROM w UNION SELECT r.node, w.b FROM r JOIN w ON r.seen = w.a)
+SELECT node, min(seen) AS component FROM r GROUP BY node""")
+def g2_components(spark, d):
+    edges = table(spark, d, "lineitem").filter("l_quantity <= 3").select((2 * F.col("l_orderkey")).alias("src"), (2 * F.col("l_partkey") + 1).alias("dst"))
+    return connected_components(edges)
+
+
+@query("""WITH m AS (SELECT conv_id || '.' || turn AS mid, CASE WHEN turn > 0 AND turn <> 3 THEN conv_id || '.' || (turn - 1) END AS irt, conv_id, turn FROM conversations),
+base AS (SELECT conv_id, min(turn) AS low FROM conversations GROUP BY conv_id)
+SELECT mid, CASE WHEN turn >= 3 AND EXISTS (SELECT 1 FROM conversations c WHERE c.conv_id = m.conv_id AND c.turn = 3) THEN conv_id || '.3' ELSE conv_id || '.' || low END AS thread_root
+FROM m JOIN base USING (conv_id)""")
+def g5_thread_roots(spark, d):
+    turns = table(spark, d, "conversations")
+    name = lambda t: F.concat_ws(".", F.col("conv_id").cast("string"), t.cast("string"))
+    replies = F.when((F.col("turn") > 0) & (F.col("turn") != 3), name(F.col("turn") - 1))
+    rows = turns.select(name(F.col("turn")).alias("mid"), replies.alias("irt"), F.array().cast("array<string>").alias("refs"), F.col("turn").alias("ts"))
+    labels = threads.thread_of(rows, threads.reply_edges(rows))
+    return threads.roots(rows, materialize(labels, "threads"))
+
+
+# ---- totals and tallies ----
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS stored, CAST(count(DISTINCT text) AS BIGINT) AS messages, CAST(count(DISTINCT source) AS BIGINT) AS sources,
+CAST(sum(strlen(text)) AS BIGINT) AS bytes, CAST(count(*) FILTER (WHERE n_chars > 4000) AS BIGINT) AS long_ones FROM documents""")
+def a6_totals(spark, d):
+    return table(spark, d, "documents").agg(F.count("*").alias("stored"), F.countDistinct("text").alias("messages"), F.countDistinct("source").alias("sources"), F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.count_if(F.col("n_chars") > 4000).alias("long_ones"))
+
+
+@query("SELECT 'stored=' || count(*) || ' unique=' || count(DISTINCT text) || ' duplicates=' || (count(*) - count(DISTINCT text)) AS summary FROM documents")
+def a14_summary(spark, d):
+    n, u = F.count("*"), F.countDistinct("text")
+    return table(spark, d, "documents").agg(F.format_string("stored=%d unique=%d duplicates=%d", n, u, n - u).alias("summary"))
+
+
+@query("SELECT CAST(1706745600 - floor(epoch(max(ts))) AS BIGINT) AS source_lag_s, 1706745600 - floor(epoch(max(ts))) > 14400 AS late FROM events")
+def a16_lag(spark, d):
+    lag = F.lit(1706745600) - F.unix_seconds(F.max(F.col("ts").cast("timestamp")))
+    return table(spark, d, "events").agg(lag.alias("source_lag_s"), (lag > 14400).alias("late"))
+
+
+@query("SELECT event_type AS what, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type ORDER BY n DESC, what DESC LIMIT 3")
+def a7_top_categories(spark, d):
+    return tallies.tally(table(spark, d, "events"), F.col("event_type"), 3)
+
+
+@query("SELECT user_id AS what, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'error' GROUP BY user_id ORDER BY n DESC, what DESC LIMIT 10")
+def a8_distinct_errors(spark, d):
+    return tallies.tally(table(spark, d, "events").filter("event_type = 'error'"), F.col("user_id"), 10)
+
+
+@query("SELECT event_type AS what, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type ORDER BY n DESC, what DESC LIMIT 1")
+def a9_top1(spark, d):
+    return tallies.top_one(table(spark, d, "events"), F.col("event_type"))
+
+
+@query("SELECT CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS errors, CAST(count(*) AS BIGINT) AS total FROM events")
+def a10_count_if(spark, d):
+    return table(spark, d, "events").agg(F.count_if(F.col("event_type") == "error").alias("errors"), F.count("*").alias("total"))
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE event_type <> 'error') AS BIGINT) AS imported, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS failed, CAST(100 * count(*) FILTER (WHERE event_type = 'error') // count(*) AS BIGINT) AS percent FROM events")
+def a11_run_counters(spark, d):
+    failed, total = F.count_if(F.col("event_type") == "error"), F.count("*")
+    return table(spark, d, "events").agg(total.alias("total"), (total - failed).alias("imported"), failed.alias("failed"), F.floor(failed * 100 / total).cast("long").alias("percent"))
+
+
+@query("SELECT event_type AS date_source, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type <> 'view' GROUP BY event_type")
+def a12_source_tally(spark, d):
+    return table(spark, d, "events").filter("event_type <> 'view'").groupBy(F.col("event_type").alias("date_source")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT CAST(count(*) FILTER (WHERE n > 0) AS BIGINT) AS days_with_data, CAST(count(*) FILTER (WHERE n = 0) AS BIGINT) AS days_without, CAST(sum(n) AS BIGINT) AS messages
+FROM (SELECT d.day, count(e.event_id) AS n FROM (SELECT unnest(generate_series(DATE '2023-12-25', DATE '2024-02-05', INTERVAL 1 DAY)) AS day) d LEFT JOIN events e ON CAST(e.ts AS DATE) = CAST(d.day AS DATE) GROUP BY d.day)""")
+def a13_day_counts(spark, d):
+    days = spark.sql("SELECT explode(sequence(date'2023-12-25', date'2024-02-05', interval 1 day)) AS day")
+    per = table(spark, d, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return days.join(per, "day", "left").agg(F.count_if(n > 0).alias("days_with_data"), F.count_if(n == 0).alias("days_without"), F.sum(n).alias("messages"))
+
+
+@query("""WITH c AS (SELECT doc_id, strlen(text) AS before, strlen(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g')) AS after FROM documents)
+SELECT CAST(count(*) FILTER (WHERE after < before) AS BIGINT) AS changed, CAST(sum(before - after) AS BIGINT) AS bytes_removed FROM c""")
+def a17_rewrite_counters(spark, d):
+    docs = table(spark, d, "documents")
+    gone = F.octet_length("text").cast("long") - F.octet_length(F.regexp_replace("text", text.SPACE + "+", " "))
+    return docs.select(gone.alias("gone")).agg(F.count_if(F.col("gone") > 0).alias("changed"), F.sum("gone").alias("bytes_removed"))
+
+
+# ---- order checks ----
+
+
+@query("""SELECT o_orderkey AS mid, strftime(o_orderdate, '%Y') AS shard FROM (SELECT *, lag(o_orderdate) OVER w AS p FROM orders WINDOW w AS (PARTITION BY strftime(o_orderdate, '%Y') ORDER BY o_orderkey)) WHERE o_orderdate < p""")
+def w3_order_violations(spark, d):
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("mid"), F.date_format("o_orderdate", "yyyy").alias("shard"), F.col("o_orderdate").alias("ts"))
+    return validate.out_of_order(rows, "shard", "mid", ["ts"], strict=False).select("mid", "shard")
+
+
+@query("""SELECT l_partkey AS id, CAST(count(*) AS BIGINT) AS n FROM (SELECT l_partkey, l_shipdate, lag(l_shipdate) OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_shipdate) AS p FROM lineitem) WHERE l_shipdate < p GROUP BY l_partkey""")
+def w4_id_order(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("id"), F.struct("l_orderkey", "l_linenumber", "l_shipdate").alias("pos"), F.col("l_shipdate").alias("date"))
+    return validate.out_of_order(rows, "id", "pos", ["date"], strict=False).groupBy("id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT sha256(text) AS message_id, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first_row FROM documents GROUP BY text HAVING count(*) > 1")
+def w6_dup_first_seen(spark, d):
+    rows = table(spark, d, "documents").select(F.sha2(F.col("text").cast("binary"), 256).alias("message_id"), F.lit("all").alias("shard"), F.col("doc_id").alias("row"))
+    return validate.repeated_keys(rows, "message_id", "shard", ["row"]).select("message_id", "n", F.col("first_place.row").alias("first_row"))
+
+
+@query("SELECT event_type, arg_max(event_id, struct_pack(ts := ts, e := event_id)) AS event_id FROM events GROUP BY event_type")
+def w7_last_line(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+
+
+# ---- scalars ----
+
+
+@query("SELECT doc_id, sha256(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))) AS folded FROM documents")
+def x10_fold(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.fold(F.col("text")).cast("binary"), 256).alias("folded"))
+
+
+@query("SELECT doc_id, left(sha256(text), 12) AS body_sha FROM documents")
+def x18_body_sha(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.body_sha(F.col("text")).alias("body_sha"))
+
+
+@query(f"SELECT doc_id, sha256({_NORMAL.replace('body', 'text')}) AS norm FROM documents")
+def x21_norm_body(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.normal_body(F.col("text")).cast("binary"), 256).alias("norm"))
+
+
+@query(f"WITH a AS (SELECT doc_id, source, text, {_NORMAL.replace('body', 'text')} AS norm FROM documents) SELECT x.doc_id, CASE WHEN sha256(x.text) = sha256(y.text) THEN false WHEN strlen(x.norm) <= strlen(y.norm) THEN NOT starts_with(y.norm, x.norm) ELSE NOT starts_with(x.norm, y.norm) END AS differ FROM a x JOIN a y ON y.doc_id = x.doc_id + 1")
+def x22_bodies_differ(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("a"), F.sha2(F.col("text").cast("binary"), 256).alias("sa"))
+    following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("b"), F.col("sa").alias("sb"))
+    return docs.join(following, "doc_id").select("doc_id", text.bodies_differ(F.col("sa"), F.col("sb"), F.col("a"), F.col("b")).alias("differ"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events")
+def x26_iso(spark, d):
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    return table(spark, d, "events").select("event_id", ids.iso(seconds).alias("iso"), ids.from_iso(ids.iso(seconds)).alias("seconds"))
+
+
+@query(r"SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<article\b[^>]*>.*?</article>') THEN sha256(regexp_extract(html, '(?is)<article\b[^>]*>(.*?)</article>', 1)) END AS block FROM pages")
+def x1_block_extract(spark, d):
+    pages = table(spark, d, "pages").withColumn("html", F.regexp_replace("html", r"(?i)<(/?)article\b", "<$1pre"))
+    return pages.select("page_id", F.sha2(text.pre_block(F.col("html")).cast("binary"), 256).alias("block"))
+
+
+@query(r"SELECT page_id, sha256(regexp_replace(regexp_replace(html, '(?is)<a\b[^>]*>(.*?)</a>', '\1', 'g'), '(?s)<[^>]+>', '', 'g')) AS stripped FROM pages")
+def x2_tag_strip(spark, d):
+    return table(spark, d, "pages").select("page_id", F.sha2(text.strip_tags(F.col("html")).cast("binary"), 256).alias("stripped"))
+
+
+@query(r"""SELECT page_id, array_to_string(list_sort(list_distinct(regexp_extract_all(html, '(?i)<li>\s*<a\s+href="/([A-Za-z]+)"', 1))), ',') AS links FROM pages""")
+def x9_index_links(spark, d):
+    found = F.regexp_extract_all("html", F.lit(r'(?i)<li>\s*<a\s+href="/([A-Za-z]+)"'), F.lit(1))
+    return table(spark, d, "pages").select("page_id", F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("links"))
+
+
+@query(None)
+def x3_entity_decode(spark, d):
+    return table(spark, d, "pages").select("page_id", F.sha2(text.decode_entities("html").cast("binary"), 256).alias("decoded"))
+
+
+@query(None)
+def x19_truncate(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.octet_length(text.truncate(F.col("text"), 1000)).cast("long").alias("bytes"))
+
+
+@query(None)
+def x23_html_text(spark, d):
+    return table(spark, d, "pages").select("page_id", text.html_text("html").alias("text"))
+
+
+@query(r"""SELECT doc_id, sha256('"' || replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), chr(10), chr(92) || 'n'), chr(9), chr(92) || 't') || '"') AS json FROM documents""")
+def x29_json_string(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.json_string(F.col("text")).cast("binary"), 256).alias("json"))
+
+
+_HOST = "regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)"
+
+
+@query(f"SELECT page_id, {_HOST} AS host, translate({_HOST}, '{mail.PLAIN}', '{mail.TURNED}') AS turned FROM pages")
+def x6_rot13_host(spark, d):
+    host = F.regexp_extract("url", r"^[a-z]+://([^/?#:]+)", 1)
+    turned = mail.rot13(host)
+    # Turning back a turned host gives the host, and a plain one stays as it is.
+    return table(spark, d, "pages").select("page_id", mail.plain_host(turned).alias("host"), turned.alias("turned")).filter(mail.plain_host(F.col("host")) == F.col("host"))
+
+
+_EVIDENCE = "SELECT o_orderkey AS mid, CAST(floor(epoch(o_orderdate)) AS BIGINT) AS stated, CAST(floor(epoch(min(l_shipdate))) AS BIGINT) AS shipped, o_totalprice FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_quantity > 25 GROUP BY ALL"
+
+
+@query(f"WITH e AS ({_EVIDENCE}) SELECT mid, CASE WHEN shipped IS NOT NULL AND stated + 3888000 <= shipped + 172800 THEN stated + 3888000 ELSE coalesce(shipped, 0) END AS ts, CASE WHEN shipped IS NOT NULL AND stated + 3888000 <= shipped + 172800 THEN 'date' WHEN shipped IS NOT NULL THEN 'received' ELSE 'commit' END AS date_source FROM e")
+def x14_date_fallback(spark, d):
+    shipped = table(spark, d, "lineitem").filter("l_quantity > 25").groupBy(F.col("l_orderkey").alias("mid")).agg(F.unix_seconds(F.min("l_shipdate").cast("timestamp")).alias("shipped"))
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("mid"), (F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + 3888000).alias("stated")).join(shipped, "mid", "left")
+    fine = F.col("shipped").isNotNull() & (F.col("stated") <= F.col("shipped") + 172800)
+    source = F.when(fine, "date").when(F.col("shipped").isNotNull(), "received").otherwise("commit")
+    return rows.select("mid", F.when(fine, F.col("stated")).otherwise(F.coalesce("shipped", F.lit(0))).alias("ts"), source.alias("date_source"))
+
+
+@query(f"WITH e AS ({_EVIDENCE}) SELECT mid, CASE WHEN stated + 5184000 <= coalesce(shipped, stated) + 172800 THEN stated + 5184000 ELSE coalesce(shipped, stated) END AS ts FROM e")
+def f3_skew_guard(spark, d):
+    shipped = table(spark, d, "lineitem").filter("l_quantity > 25").groupBy(F.col("l_orderkey").alias("mid")).agg(F.unix_seconds(F.min("l_shipdate").cast("timestamp")).alias("shipped"))
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("mid"), F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("stated")).join(shipped, "mid", "left")
+    return rows.select("mid", mail.guarded_date(F.col("stated") + 5184000, F.coalesce("shipped", "stated")).alias("ts"))
+
+
+@query("SELECT conv_id, turn, left(sha256(concat_ws(chr(0), '2024-01-01T00:00:00Z', role, '', text)), 32) || '@synthetic.list' AS mid FROM conversations")
+def x20_synthetic_id(spark, d):
+    name = ids.synthetic_id("list", F.lit("2024-01-01T00:00:00Z"), F.col("role"), F.lit(None).cast("string"), F.col("text"))
+    return table(spark, d, "conversations").select("conv_id", "turn", name.alias("mid"))
+
+
+@query("""WITH t AS (SELECT o_orderkey, 'See CVE-' || (1999 + o_orderkey % 20) || '-' || (1000 + o_custkey) || ', cve-2024-' || o_orderkey || ' and xCVE-2020-1111' AS body FROM orders)
+SELECT o_orderkey, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(body, '(?i)\\b(CVE-[0-9]{4}-[0-9]{4,})\\b', 1), lambda x: upper(x)))), ',') AS found FROM t""")
+def x16_cve_ids(spark, d):
+    s = lambda c: F.col(c).cast("string")
+    body = F.concat(F.lit("See CVE-"), (F.lit(1999) + F.col("o_orderkey") % 20).cast("string"), F.lit("-"), (F.lit(1000) + F.col("o_custkey")).cast("string"), F.lit(", cve-2024-"), s("o_orderkey"), F.lit(" and xCVE-2020-1111"))
+    return table(spark, d, "orders").select("o_orderkey", F.array_join(ids.cve_ids(body), ",").alias("found"))
+
+
+@query("SELECT doc_id, sha1('blob ' || strlen(text) || chr(0) || text) AS blob FROM documents")
+def x36_blob_id(spark, d):
+    return table(spark, d, "documents").select("doc_id", ids.blob_id(F.col("text").cast("binary")).alias("blob"))
+
+
+@query("SELECT o_orderkey, 'https://archive.example.org/list/' || strftime(o_orderdate, '%Y/%m/%d') AS url FROM orders WHERE o_orderstatus = 'F'")
+def x27_day_url(spark, d):
+    rows = table(spark, d, "orders").filter("o_orderstatus = 'F'")
+    return rows.select("o_orderkey", F.date_format("o_orderdate", "'https://archive.example.org/list/'yyyy/MM/dd").alias("url"))
+
+
+# ---- checks ----
+
+
+@query("SELECT l_orderkey AS message_id, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1")
+def v6_unique_mid(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("message_id"), F.lit("x").alias("shard"), F.col("l_linenumber").alias("row"))
+    return validate.repeated_keys(rows, "message_id", "shard", ["row"]).select("message_id", "n")
+
+
+@query("SELECT 'V10' AS \"check\", strftime(ts, '%Y') AS shard, CAST(event_id AS VARCHAR) AS id, event_type AS detail FROM events WHERE event_type NOT IN ('view', 'click', 'signup', 'purchase')")
+def v10_domain(spark, d):
+    rows = table(spark, d, "events").withColumn("shard", F.date_format("ts", "yyyy"))
+    return validate.violation(rows, "V10", ~F.col("event_type").isin("view", "click", "signup", "purchase"), "shard", "event_id", F.col("event_type"))
+
+
+@query("SELECT l_orderkey AS mid, l_partkey AS id FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
+def v15_fk(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("mid"), F.col("l_partkey").alias("id"))
+    return validate.orphans(rows, table(spark, d, "orders").filter("o_orderstatus <> 'P'"), "mid", "o_orderkey")
+
+
+@query("""WITH a AS (SELECT DISTINCT l_partkey AS id, l_orderkey AS mid FROM lineitem WHERE l_quantity > 10), b AS (SELECT DISTINCT l_partkey AS id, l_orderkey AS mid FROM lineitem WHERE l_quantity <= 40)
+SELECT coalesce(a.id, b.id) AS id, coalesce(a.mid, b.mid) AS mid, CASE WHEN b.id IS NULL THEN 'left' ELSE 'right' END AS side FROM a FULL JOIN b ON a.id = b.id AND a.mid = b.mid WHERE a.id IS NULL OR b.id IS NULL""")
+def v17_bidirectional(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("id"), F.col("l_orderkey").alias("mid"), "l_quantity")
+    return validate.both_ways(rows.filter("l_quantity > 10"), rows.filter("l_quantity <= 40"), ["id", "mid"])
+
+
+@query(f"WITH {_RANKED} SELECT CAST(count(*) FILTER (WHERE place = 1) AS BIGINT) AS kept, CAST(count(*) FILTER (WHERE place > 1) AS BIGINT) AS lost, CAST(count(*) AS BIGINT) AS stored, true AS conserved FROM ranked")
+def v19_conservation(spark, d):
+    copies = _copies(spark, d).drop("text")
+    won = dedup.winners(copies)
+    lost = dedup.duplicate_lists(dedup.losers(copies, won), fields=("seq",)).agg(F.coalesce(F.sum(F.size("duplicates")), F.lit(0)).cast("long").alias("lost"))
+    counted = won.agg(F.count("*").alias("kept")).crossJoin(lost).crossJoin(copies.agg(F.count("*").alias("stored")))  # one row each
+    return counted.select("kept", "lost", "stored", (F.col("kept") + F.col("lost") == F.col("stored")).alias("conserved"))
+
+
+@query("""WITH a AS (SELECT DISTINCT strftime(o_orderdate, '%Y') AS shard FROM orders WHERE o_orderdate < '2000-01-01'), b AS (SELECT DISTINCT strftime(l_shipdate, '%Y') AS shard FROM lineitem)
+SELECT coalesce(a.shard, b.shard) AS shard, CASE WHEN b.shard IS NULL THEN 'left' ELSE 'right' END AS side FROM a FULL JOIN b ON a.shard = b.shard WHERE a.shard IS NULL OR b.shard IS NULL""")
+def j12_shard_reconcile(spark, d):
+    a = table(spark, d, "orders").filter("o_orderdate < timestamp_ntz'2000-01-01'").select(F.date_format("o_orderdate", "yyyy").alias("shard"))
+    return validate.both_ways(a, table(spark, d, "lineitem").select(F.date_format("l_shipdate", "yyyy").alias("shard")), ["shard"])
