@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space is spelt out: \s differs between engines in the vertical tab.
 SPACE = r"[ \t\n\r\f\x0B]"
@@ -49,7 +50,7 @@ def body_sha(c: Column) -> Column:
     return F.left(F.sha2(c.cast("binary"), 256), F.lit(12))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _cut(texts: pd.Series, limits: pd.Series) -> pd.Series:
     def one(text: str, limit: int) -> str:
         raw = text.encode()
@@ -104,7 +105,7 @@ def index_links(html: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(found, lambda x: x.cast("long"))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decode_entities(texts: pd.Series) -> pd.Series:
     """Character references to characters."""
     import html
@@ -112,7 +113,7 @@ def decode_entities(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_text(pages: pd.Series) -> pd.Series:
     """A page as plain text, 72 columns wide (X23); the layout is this library's own."""
     import textwrap

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from lettermill.functions import ids, mail, text
 from lettermill.operators import dedup, mentions, tallies, threads, validate
 from lettermill.operators.components import connected_components
-from lettermill.session import materialize, table
+from lettermill.session import materialize, shared_dir, table
+from lettermill.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -519,3 +521,37 @@ SELECT coalesce(a.shard, b.shard) AS shard, CASE WHEN b.shard IS NULL THEN 'left
 def j12_shard_reconcile(spark, d):
     a = table(spark, d, "orders").filter("o_orderdate < timestamp_ntz'2000-01-01'").select(F.date_format("o_orderdate", "yyyy").alias("shard"))
     return validate.both_ways(a, table(spark, d, "lineitem").select(F.date_format("l_shipdate", "yyyy").alias("shard")), ["shard"])
+
+
+# ---- streams: run to the end of what is there, then read as a table ----
+
+
+def _event_stream(spark, d) -> DataFrame:
+    shape = table(spark, d, "events").schema
+    stream = spark.readStream.schema(shape).option("pathGlobFilter", "events.parquet").parquet(d)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need an instant
+
+
+@query("SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1")
+def t2_rolling_window(spark, d):
+    place = f"{shared_dir(spark)}/lettermill/stream-{uuid.uuid4().hex}"
+    counts = ingest.windowed_counts(_event_stream(spark, d))
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{place}/out")
+
+    run = counts.writeStream.outputMode("complete").option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).foreachBatch(keep).start()
+    run.awaitTermination()
+    return spark.read.parquet(f"{place}/out").select(F.col("start").cast("date").alias("day"), "n")
+
+
+@query("SELECT user_id || ':' || event_type AS mid, min(event_id) AS event_id FROM events GROUP BY 1")
+def t3_stream_dedup(spark, d):
+    place = f"{shared_dir(spark)}/lettermill/stream-{uuid.uuid4().hex}"
+    rows = _event_stream(spark, d).select(F.concat_ws(":", F.col("user_id").cast("string"), "event_type").alias("mid"), "event_id")
+
+    def each(batch: DataFrame, number: int) -> None:
+        ingest.append_unseen(batch, f"{place}/log", order="event_id", batch=number)
+
+    rows.writeStream.option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).foreachBatch(each).start().awaitTermination()
+    return spark.read.parquet(f"{place}/log").select("mid", "event_id")

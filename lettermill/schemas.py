@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DataType, IntegerType, LongType, StringType, StructField, StructType
 
 SCHEMA_VERSION = 1
 
-STORED = StructType.fromDDL("seq long, epoch int, commit string, commit_ts long, blob string, raw binary")
-PARSED = StructType.fromDDL(
-    "seq long, epoch int, blob string, mid string, synthetic boolean, ts long, date_source string, from string, subject string,"
-    " irt string, refs array<string>, provenance string, source_url string, body string, truncated boolean,"
-    " cve_ids array<string>, ghsa_ids array<string>, full_sha string, body_sha string"
-)
-MESSAGE = StructType.fromDDL(
-    "message_id string, synthetic_mid boolean, epoch int, blob string, duplicates array<struct<blob:string,provenance:string>>,"
-    " body_conflict boolean, date string, date_source string, from string, subject string, in_reply_to string, thread_root string,"
-    " url string, provenance string, cve_ids array<string>, ghsa_ids array<string>, body_sha string"
-)
-BODY = StructType.fromDDL("message_id string, body string, truncated boolean")
-MENTION = StructType.fromDDL("id string, message_id string, date string, url string, thread_root string")
-MANIFEST = StructType.fromDDL("kind string, shard string, count long, sha256 string, bytes long")
-WARNING = StructType.fromDDL("kind string, category string, detail string")
+TEXT, LONG, INT, FLAG, TEXTS = StringType(), LongType(), IntegerType(), BooleanType(), ArrayType(StringType())
+
+
+def _struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name.rstrip("_"), kind) for name, kind in fields.items()])
+
+
+STORED = _struct(seq=LONG, epoch=INT, commit=TEXT, commit_ts=LONG, blob=TEXT, raw=BinaryType())
+PARSED = _struct(
+    seq=LONG, epoch=INT, blob=TEXT, mid=TEXT, synthetic=FLAG, ts=LONG, date_source=TEXT, from_=TEXT, subject=TEXT, irt=TEXT, refs=TEXTS,
+    provenance=TEXT, source_url=TEXT, body=TEXT, truncated=FLAG, cve_ids=TEXTS, ghsa_ids=TEXTS, full_sha=TEXT, body_sha=TEXT,
+)
+MESSAGE = _struct(
+    message_id=TEXT, synthetic_mid=FLAG, epoch=INT, blob=TEXT, duplicates=ArrayType(_struct(blob=TEXT, provenance=TEXT)), body_conflict=FLAG,
+    date=TEXT, date_source=TEXT, from_=TEXT, subject=TEXT, in_reply_to=TEXT, thread_root=TEXT, url=TEXT, provenance=TEXT, cve_ids=TEXTS,
+    ghsa_ids=TEXTS, body_sha=TEXT,
+)
+BODY = _struct(message_id=TEXT, body=TEXT, truncated=FLAG)
+MENTION = _struct(id=TEXT, message_id=TEXT, date=TEXT, url=TEXT, thread_root=TEXT)
+MANIFEST = _struct(kind=TEXT, shard=TEXT, count=LONG, sha256=TEXT, bytes=LONG)
+WARNING = _struct(kind=TEXT, category=TEXT, detail=TEXT)
 DATE_SOURCES = ("date", "received", "source_url", "commit")
