@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lettermill.session import materialize
+
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # the + form with 16+ characters: a run that is too short has no longer one inside
 HEX = r"[0-9a-f]{32,}"
@@ -64,7 +66,7 @@ def scan(docs: DataFrame) -> DataFrame:
     end = F.sum(F.col("gap").cast("long") + F.col("len")).over(upto)
     spans = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("len"))
     spans = spans.filter(F.col("kind").isNull() | (F.col("kind") != 0) | (F.col("value") >= LEAST_VALUE)).select("_row", "doc_id", "kind", "start", "end")
-    return _linked(spans)
+    return _linked(materialize(spans, "spans"))
 
 
 def _linked(spans: DataFrame) -> DataFrame:
