@@ -23,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lettermill.llm.secrets import with_text
 from lettermill.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -101,18 +102,15 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix as documents: a row for each pass over a document, cut to the words taken, by position."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    sizes = numbered.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.lit(1).cast("long").alias("copies"), "_row")
+    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
+    sizes = numbered.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.source").cast("string").alias("source"), word_count(F.col("doc.text")).alias("size"), F.lit(1).cast("long").alias("copies"), "_row")
     plan = placed(materialize(sizes, "sizes"), **settings).filter("taken > 0")
     each_pass = F.array(*[F.struct(F.col(w).alias("words"), F.col(at).alias("at")) for w, at in (("first_pass", "position"), ("second_pass", "second_position"))])
-    passes = plan.select(F.col("_row").alias("_of"), "size", F.explode(each_pass).alias("p")).filter("p.words > 0").select("_of", "size", "p.words", "p.at")
-    names = docs.columns
-    joined = numbered.alias("d").join(passes.alias("p"), F.col("d._row") == F.col("p._of"))
-    gaps = F.split("d.text", WORD, -1)
-    words = F.regexp_extract_all("d.text", F.lit(WORD), F.lit(0))
-    head = F.array_join(F.zip_with(F.slice(gaps, F.lit(1), F.col("p.words").cast("int")), F.slice(words, F.lit(1), F.col("p.words").cast("int")), lambda g, w: F.concat(g, w)), "")
-    text = F.when(F.col("p.words") < F.col("p.size"), head).otherwise(F.col("d.text"))
-    cut = joined.select(*[text.alias("text") if c == "text" else F.col(f"d.{c}") for c in names], F.col("p.at").alias("_at"))
-    if "n_chars" in names:
-        cut = cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return cut.orderBy("_at", "doc_id").select(*names)
+    passes = plan.select(F.col("_row").alias("_of"), F.col("doc_id").alias("_id"), "size", F.explode(each_pass).alias("p")).filter("p.words > 0").select("_of", "_id", "size", "p.words", "p.at")
+    joined = numbered.join(passes, F.col("_row") == F.col("_of"))
+    text = F.col("doc").getField("text")
+    keep = F.col("words").cast("int")
+    gaps, words = F.slice(F.split(text, WORD, -1), F.lit(1), keep), F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), keep)
+    head = F.array_join(F.zip_with(gaps, words, lambda g, w: F.concat(g, w)), "")
+    cut = joined.withColumn("head", F.when(F.col("words") < F.col("size"), head)).orderBy("at", "_id")
+    return with_text(cut, docs, F.col("head"))

@@ -102,14 +102,19 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """Documents with every reported span replaced by a mask; n_chars follows the text."""
-    names, kinds = docs.columns, dict(docs.dtypes)
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
     hits = find_secrets(docs).filter(F.size("ranges") > 0).select(F.col("_row").alias("_hit"), "ranges")
-    step = lambda acc, x: F.when(x["start"] >= acc["at"], F.struct(F.concat(acc["out"], F.substring("text", acc["at"].cast("int") + 1, (x["start"] - acc["at"]).cast("int")), F.lit(MASK)).alias("out"), x["end"].alias("at"))).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], x["end"]).alias("at")))
+    text = F.col("doc").getField("text")
+    piece = lambda at, size: F.substring(text, at.cast("int") + 1, size)
+    step = lambda acc, x: F.when(x["start"] >= acc["at"], F.struct(F.concat(acc["out"], piece(acc["at"], (x["start"] - acc["at"]).cast("int")), F.lit(MASK)).alias("out"), x["end"].alias("at"))).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], x["end"]).alias("at")))
     first = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    clean = F.aggregate("ranges", first, step, lambda acc: F.concat(acc["out"], F.substring("text", acc["at"].cast("int") + 1, 2**31 - 1)))
-    joined = numbered.join(hits, F.col("_row") == F.col("_hit"), "left")
-    out = joined.withColumn("text", F.when(F.col("_hit").isNotNull(), clean).otherwise(F.col("text")))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("_hit").isNotNull(), F.length("text").cast(kinds["n_chars"])).otherwise(F.col("n_chars")))
-    return out.select(*names)
+    clean = F.aggregate("ranges", first, step, lambda acc: F.concat(acc["out"], piece(acc["at"], F.lit(2**31 - 1))))
+    joined = numbered.join(hits, F.col("_row") == F.col("_hit"), "left").select("doc", F.when(F.col("_hit").isNotNull(), clean).alias("clean"))
+    return with_text(joined, docs, F.col("clean"))
+
+
+def with_text(joined: DataFrame, docs: DataFrame, changed: Column) -> DataFrame:
+    """The columns of docs from the struct `doc`, with another text and n_chars where `changed` is not null."""
+    new = {"text": changed, "n_chars": F.length(changed)}
+    old = lambda c: F.col("doc").getField(c)
+    return joined.select(*[F.coalesce(new[c].cast(t), old(c)).alias(c) if c in new else old(c).alias(c) for c, t in docs.dtypes])

@@ -244,11 +244,11 @@ def hex_digits(fp):
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Documents with one row kept of each group: the one with the least doc_id (then least text)."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    prints = materialize(fingerprints(numbered.withColumn("doc_id", F.col("_row"))).select(F.col("doc_id").alias("_row"), "fp"), "fingerprints")
-    ids = numbered.select("_row", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("_row").alias("row")).alias("rank"))
-    distinct = materialize(prints.join(ids, "_row").groupBy("fp").agg(F.min("rank").alias("first")), "distinct")
+    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
+    prints = materialize(fingerprints(numbered.select(F.col("_row").alias("doc_id"), "doc.text")), "fingerprints")
+    ids = numbered.select("_row", F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("doc_id"), F.col("_row").alias("row")).alias("rank"))
+    distinct = materialize(prints.join(ids, F.col("doc_id") == F.col("_row")).groupBy("fp").agg(F.min("rank").alias("first")), "distinct")
     parts = connected_components(links(distinct.select("fp")))
     of = distinct.join(parts, F.col("fp") == F.col("node"), "left").select("first", F.coalesce("component", "fp").alias("part"))
     kept = of.groupBy("part").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    return numbered.join(kept, "_row", "left_semi").select("doc.*")
