@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from lettermill.functions import ids, mail, text
 from lettermill.operators import dedup, mentions, tallies, threads, validate
 from lettermill.operators.components import connected_components
-from lettermill.session import materialize, shared_dir, table
+from lettermill.session import materialize, scratch, table
 from lettermill.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -534,7 +533,7 @@ def _event_stream(spark, d) -> DataFrame:
 
 @query("SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1")
 def t2_rolling_window(spark, d):
-    place = f"{shared_dir(spark)}/lettermill/stream-{uuid.uuid4().hex}"
+    place = scratch(spark, "stream")
     counts = ingest.windowed_counts(_event_stream(spark, d))
 
     def keep(batch: DataFrame, number: int) -> None:
@@ -547,7 +546,7 @@ def t2_rolling_window(spark, d):
 
 @query("SELECT user_id || ':' || event_type AS mid, min(event_id) AS event_id FROM events GROUP BY 1")
 def t3_stream_dedup(spark, d):
-    place = f"{shared_dir(spark)}/lettermill/stream-{uuid.uuid4().hex}"
+    place = scratch(spark, "stream")
     rows = _event_stream(spark, d).select(F.concat_ws(":", F.col("user_id").cast("string"), "event_type").alias("mid"), "event_id")
 
     def each(batch: DataFrame, number: int) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[1])
 _OWN_DIR: list[str] = []
+_MADE: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +45,37 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_OWN_DIR[0]}"
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, swept when this driver ends."""
+    if not _MADE:
+        atexit.register(sweep)
+    path = f"{shared_dir(spark)}/lettermill/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def sweep() -> None:
+    """Delete this driver's scratch paths; tables that were read from them can be read no more."""
+    spark = SparkSession.getActiveSession()
+    context = spark.sparkContext if spark else None
+    if context is None or context._jsc is None:
+        return
+    for path in _MADE:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    _MADE.clear()
+
+
+def make_folder(spark: SparkSession, path: str) -> str:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: a lineage cut that outlives executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lettermill/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
