@@ -121,6 +121,15 @@ SELECT c.page_id, c.host, CAST(c.moment AS BIGINT) AS fetched_at, coalesce(f.act
 FROM captures c LEFT JOIN found f ON f.page_id = c.page_id AND f.rank = 1
 """
 
+OP4_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, max(page_id) AS first FROM payloads WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT p.page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON f.html = p.html
+"""
+
 OP9_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
@@ -158,4 +167,4 @@ FROM taken
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL, "op9_mixing": OP9_SQL}
+    return {"op1_url_filters": OP1_SQL, "op4_warc": OP4_SQL, "op9_mixing": OP9_SQL}

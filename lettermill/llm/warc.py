@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.session import materialize, shared_dir
+from lettermill.session import make_folder, materialize, scratch
 
 MAGIC = b"WARC/1.0\r\n"
 HEADER_BYTES = 64 << 10
@@ -98,10 +98,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
         cols = list(zip(*done, strict=True)) or [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["path", "bytes", "records"])
 
-    spark = pages.sparkSession
-    jvm = spark.sparkContext._jvm
-    home = jvm.org.apache.hadoop.fs.Path(folder)
-    home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(home)
+    make_folder(pages.sparkSession, folder)
     return materialize(chosen.mapInArrow(run, MANIFEST), "archives")
 
 
@@ -247,5 +244,4 @@ def read_record(fields: dict[bytes, bytes], block: bytes) -> tuple:
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """The operator: pages to archives and back."""
-    folder = f"{shared_dir(spark)}/lettermill/warc-{uuid.uuid4().hex}"
-    return read_archives(write_archives(pages, folder))
+    return read_archives(write_archives(pages, scratch(spark, "warc")))
