@@ -7,9 +7,9 @@ keys, and neighbouring strings mostly share one, so a run of strings with one ke
 1. Each task writes its documents as a shard to the shared folder and sends the keys of its strings, each
    once, to the key's bucket; a bucket answers with the keys that more than one document has.
 2. For each shard, the fragments of such keys are cut, equal ones once with their least doc_id, and sent to
-   buckets by key. A bucket sorts the suffixes of its distinct fragments by induction (see `suffixes`),
-   finds runs of suffixes that agree in `LENGTH` bytes, and answers, string by string, with the least doc_id
-   that has it.
+   buckets by key. A bucket sorts the suffixes of its distinct fragments by induction (see `suffixes`; a
+   fragment that is alone with its key needs no sort), finds runs of suffixes that agree in `LENGTH` bytes,
+   and answers, string by string, with the least doc_id that has it.
 3. For each shard, the strings that have a smaller doc_id cover the bytes to remove.
 
 Common-prefix values are not carried through the induction but compared afterwards, eight bytes at a time,
@@ -39,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.llm.suffixes import suffix_order
-from lettermill.session import materialize, shared_dir, shuffle_width
+from lettermill.session import make_folder, materialize, scratch, shuffle_width
 
 LENGTH = 50
 GRAM = 20
 STRETCH = 2 << 20
-BUCKET_TEXT = 32 << 20
+BUCKET_TEXT = 16 << 20
 NOBODY = (1 << 63) - 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -297,6 +297,17 @@ def least_owners(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, lengt
     return out
 
 
+def rivals(texts: list[bytes]) -> np.ndarray:
+    """Fragments whose key another fragment has too; any other's strings are in it alone."""
+    keys = []
+    for _, data, bounds in stretches(texts):
+        keys.append(string_keys(data)[bounds[:-1]])
+    keys = np.concatenate(keys)
+    order = np.argsort(keys, kind="stable")
+    same = np.append(False, keys[order][1:] == keys[order][:-1])
+    return np.sort(order[same | np.append(same[1:], False)])
+
+
 def _answer_fragments(table: pa.Table) -> pa.Table:
     """Step 2, second half: of one bucket, for each shard, the least doc_id of each string of its fragments."""
     number: dict[bytes, int] = {}
@@ -310,15 +321,22 @@ def _answer_fragments(table: pa.Table) -> pa.Table:
     owner = np.full(len(number), NOBODY)
     for ids, _, least in parts:
         np.minimum.at(owner, ids, least)
-    lengths = np.fromiter(map(len, number), dtype=np.int64, count=len(number))
-    begins = np.cumsum(lengths + 1) - lengths - 1
-    text = np.frombuffer(b"\0".join(number), dtype=np.uint8)
-    shift = text.astype(np.int16) + 1
-    shift[begins[1:] - 1] = 0  # separators are below every byte
+    texts = list(number)
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     counts = lengths - LENGTH + 1
     offset = np.cumsum(counts) - counts
-    starts = np.repeat(begins - offset, counts) + np.arange(counts.sum())
-    least = least_owners(shift, starts, np.repeat(owner, counts))
+    least = np.repeat(owner, counts)  # right wherever no other fragment has the key
+    rival = rivals(texts)
+    if len(rival):
+        size = lengths[rival]
+        begins = np.cumsum(size + 1) - size - 1
+        shifted = np.frombuffer(b"\0".join([texts[k] for k in rival.tolist()]), dtype=np.uint8).astype(np.int16) + 1
+        shifted[begins[1:] - 1] = 0  # separators are below every byte
+        own = counts[rival]
+        turn = np.cumsum(own) - own
+        each = np.arange(own.sum())
+        found = least_owners(shifted, np.repeat(begins - turn, own) + each, np.repeat(owner[rival], own))
+        least[np.repeat(offset[rival] - turn, own) + each] = found
     out = []
     for ids, own_lengths, _ in parts:
         own_counts = own_lengths - LENGTH + 1
@@ -380,9 +398,7 @@ def _remove(folder: str):
 def remove_repeats(docs: DataFrame, bucket_text: int = BUCKET_TEXT) -> DataFrame:
     """The operator: doc_id, n_bytes, n_removed, n_spans, kept_sha256; one row for each document."""
     spark = docs.sparkSession
-    folder = f"{shared_dir(spark)}/lettermill/shards-{uuid.uuid4().hex}"
-    home = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(home)
+    folder = make_folder(spark, scratch(spark, "shards"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("key"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0

@@ -53,7 +53,8 @@ class Queues:
                     continue
             if not self.fresh[symbol]:
                 return
-            block = self.fresh[symbol].pop(0)
+            block = np.concatenate(self.fresh[symbol])
+            self.fresh[symbol].clear()
             self.held -= block.nbytes
             yield block
 
