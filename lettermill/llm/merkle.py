@@ -30,9 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_ROWS = 4096
+RANGE_ROWS = 2048
 MOST_RANGES = 10_000
-PIECE_CUT = 0x1FFF_FFFF  # one word end in eight ends a piece
+#: Which word ends also end a piece, by the text's length: those of a longer text are among those of a shorter.
+PIECE_CUTS = ((512, 0xFFFF_FFFF), (4096, 0x7FFF_FFFF), (1 << 62, 0x3FFF_FFFF))
+MOST_WORDS = 16  # and so does every 16th without such an end
 SECTION_CUT = 8  # one line in eight ends a section
 
 
@@ -72,7 +74,10 @@ def _cuts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     before = np.lib.stride_tricks.sliding_window_view(padded, 4)[space].astype(np.uint32)  # the four bytes before
     mixed = (before @ np.array([1, 1 << 8, 1 << 16, 1 << 24], dtype=np.uint32)) * np.uint32(0x9E3779B1)
     line = data[space] == 10
-    ends = space[line | (mixed <= PIECE_CUT)] + 1
+    cut = line | (mixed <= next(most for size, most in PIECE_CUTS if n < size))
+    order = np.arange(len(space))
+    since = order - np.maximum.accumulate(np.where(cut, order, -1)) if len(space) else order
+    ends = space[cut | ((since > 0) & (since % MOST_WORDS == 0))] + 1
     if not n:
         return ends, ends == -1
     if not len(ends) or ends[-1] != n:
@@ -188,7 +193,7 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     around = firsts.select(F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy())).alias("to"), F.col("first"))
     guests = rows.join(F.broadcast(around), F.col("key") == F.col("first")).select("doc_id", "key", "text", F.col("to").alias("range"), F.lit(1).alias("guest"))
     own = dealt.withColumn("guest", F.lit(0)).select("doc_id", "key", "text", "range", "guest")
-    together = own.unionByName(guests).repartition("range").sortWithinPartitions("range", "guest", "key", "text")
+    together = own.unionByName(guests).repartition(2 * ranges, "range").sortWithinPartitions("range", "guest", "key", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple | None = None  # range, doc_id, text, tree
