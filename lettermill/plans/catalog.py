@@ -522,6 +522,105 @@ def j12_shard_reconcile(spark, d):
     return validate.both_ways(a, table(spark, d, "lineitem").select(F.date_format("l_shipdate", "yyyy").alias("shard")), ["shard"])
 
 
+# ---- mail: header texts are made from the rows of orders, so that SQL can say what must come out ----
+
+
+def _made_mail(spark, d) -> DataFrame:
+    """o_orderkey and hs: parsed headers of a made message, folded, repeated and out of order."""
+    o = lambda c: F.col(c).cast("string")
+    day = F.date_format("o_orderdate", "EEE, d MMM yyyy HH:mm:ss")
+    lines = [
+        F.concat(F.lit("Received: from mx by box.sub.org; "), day, F.lit(" +0000\r\nX-Spam-Flag: NO\r\nX-Rspamd-Score: 1")),
+        F.concat(F.lit("Received: from a.org (a.org [1.2.3.4])\r\n\tby mail"), (F.col("o_orderkey") % 3).cast("string"), F.lit(".hop.net with SMTP id x;\r\n "), day, F.lit(" -0500")),
+        F.lit("DKIM-Signature: v=1"),
+        F.concat(F.lit("Message-ID:\r\n <"), o("o_orderkey"), F.lit("@x.org>")),
+        F.concat(F.lit("Date: "), day, F.lit(" +0130 (X)")),
+        F.concat(F.lit("References: <r"), o("o_custkey"), F.lit("@x.org>\r\n <s"), o("o_custkey"), F.lit("@x.org>")),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("In-Reply-To: <p"), o("o_custkey"), F.lit("@x.org> (sent)"))).otherwise(F.lit("no header here")),
+    ]
+    whole = F.concat(F.array_join(F.array(*lines), "\r\n"), F.lit("\r\n\r\nMessage-ID: <body@x.org>\r\n"))
+    return table(spark, d, "orders").select("o_orderkey", mail.headers(mail.head(whole)).alias("hs"), mail.rest(whole).alias("rest"))
+
+
+@query("SELECT o_orderkey, o_orderkey || '@x.org' AS mid, CASE WHEN o_orderstatus = 'F' THEN 8 ELSE 7 END + 1 AS n FROM orders")
+def x12_message_id(spark, d):
+    return _made_mail(spark, d).select("o_orderkey", mail.message_id(F.col("hs")).alias("mid"), F.size("hs").alias("n"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'p' ELSE 's' END || o_custkey || '@x.org' AS irt, 'r' || o_custkey || '@x.org,s' || o_custkey || '@x.org' || CASE WHEN o_orderstatus = 'F' THEN ',p' || o_custkey || '@x.org' ELSE '' END AS refs FROM orders")
+def x15_in_reply_to(spark, d):
+    return _made_mail(spark, d).select("o_orderkey", mail.in_reply_to(F.col("hs")).alias("irt"), F.array_join(mail.references(F.col("hs")), ",").alias("refs"))
+
+
+@query("SELECT o_orderkey, CAST(floor(epoch(o_orderdate)) AS BIGINT) - 5400 AS ts, CAST(floor(epoch(o_orderdate)) AS BIGINT) + 18000 AS received FROM orders")
+def x13_mail_date(spark, d):
+    hop = F.get(mail.values(F.col("hs"), "Received"), F.lit(1))
+    return _made_mail(spark, d).select("o_orderkey", mail.mail_date(mail.value(F.col("hs"), "Date")).alias("ts"), mail.mail_date(F.regexp_extract(hop, r";\s*([^;]+?)\s*$", 1)).alias("received"))
+
+
+@query("SELECT o_orderkey, 'mail' || (o_orderkey % 3) || '.hop.net' AS by_host, 'a.org (a.org [1.2.3.4])' AS from_host FROM orders")
+def x30_received_clauses(spark, d):
+    hop = F.get(mail.values(F.col("hs"), "Received"), F.lit(1))
+    return _made_mail(spark, d).select("o_orderkey", mail.by_clause(hop).alias("by_host"), mail.from_clause(hop).alias("from_host"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 3 END AS edge FROM orders")
+def x32_boundary(spark, d):
+    return _made_mail(spark, d).select("o_orderkey", mail.boundary(F.col("hs"), r"mail1\.hop").alias("edge"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 'Received,' ELSE 'Received,X-Spam-Flag,Received,' END || 'DKIM-Signature,Message-ID,Date,References' || CASE WHEN o_orderstatus = 'F' THEN ',In-Reply-To' ELSE '' END AS kept FROM orders")
+def f11_sanitized_headers(spark, d):
+    kept = mail.sanitized(F.col("hs"), r"mail1\.hop")
+    return _made_mail(spark, d).select("o_orderkey", F.array_join(F.transform(kept, lambda h: h["name"]), ",").alias("kept"))
+
+
+@query("SELECT 'DKIM-Signature' AS what, CAST(count(*) FILTER (WHERE o_orderkey % 3 = 1) AS BIGINT) AS n FROM orders")
+def f13_residual_headers(spark, d):
+    names = _made_mail(spark, d).select(F.explode(mail.residual(F.col("hs"), r"mail1\.hop")).alias("name"))
+    return tallies.tally(names, F.col("name"))
+
+
+@query("SELECT value AS what, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE event_id % 5 WHEN 0 THEN 'RESIDUAL' || chr(9) || 'X' WHEN 1 THEN 'Auto packing the repository' WHEN 2 THEN '  ' ELSE 'error: ' || event_type END AS value, event_id FROM events) WHERE event_id % 5 > 2 GROUP BY value")
+def f14_noise_filter(spark, d):
+    kind = F.col("event_id") % 5
+    line = F.when(kind == 0, "RESIDUAL\tX").when(kind == 1, "Auto packing the repository").when(kind == 2, "  ").otherwise(F.concat(F.lit("error: "), "event_type"))
+    return tallies.tally(tallies.informative(table(spark, d, "events").select(line.alias("value"))), F.col("value"))
+
+
+@query("SELECT CAST(unnest(generate_series(DATE '2024-01-05', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS day")
+def o5_remaining_days(spark, d):
+    days = ingest.remaining_days(F.to_date(F.lit("2024-01-01")), F.to_date(F.lit("2024-01-31")), F.to_date(F.lit("2024-01-04")))
+    return spark.range(1).select(F.explode(days).alias("day"))
+
+
+@query("""WITH t AS (SELECT o_orderkey, 'https://x/GHSA-' || translate(lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '2'), '01', 'ch') || '-2222-9CFG/ and ghsa-aaaa-2222-3333' AS body FROM orders)
+SELECT o_orderkey, array_to_string(list_transform(regexp_extract_all(body, '(?i)\\bGHSA((?:-[23456789cfghjmpqrvwx]{4}){3})\\b', 1), lambda x: 'GHSA' || lower(x)), ',') AS found FROM t""")
+def x17_ghsa_ids(spark, d):
+    digits = F.translate(F.lpad((F.col("o_orderkey") % 10000).cast("string"), 4, "2"), "01", "ch")
+    body = F.concat(F.lit("https://x/GHSA-"), digits, F.lit("-2222-9CFG/ and ghsa-aaaa-2222-3333"))
+    return table(spark, d, "orders").select("o_orderkey", F.array_join(ids.ghsa_ids(body), ",").alias("found"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'id' || o_orderkey || '@x' ELSE 'plain' || o_orderkey END AS bare FROM orders")
+def x38_bare_id(spark, d):
+    k = F.col("o_orderkey").cast("string")
+    said = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(" <id"), k, F.lit("@x> "))).otherwise(F.concat(F.lit("plain"), k, F.lit("\n")))
+    return table(spark, d, "orders").select("o_orderkey", mail.bare_id(said).alias("bare"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def f16_drop_list(spark, d):
+    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").filter("toxic = 1"), "doc_id", "left_anti")
+
+
+@query("SELECT conv_id || '.' || turn AS mid, nullif(conv_id || '.' || (turn - turn % 2), conv_id || '.' || turn) AS in_reply_to FROM conversations")
+def f6_self_reply(spark, d):
+    name = lambda t: F.concat_ws(".", F.col("conv_id").cast("string"), t.cast("string"))
+    mid, irt = name(F.col("turn")), name(F.col("turn") - F.col("turn") % 2)
+    return table(spark, d, "conversations").select(mid.alias("mid"), F.nullif(irt, mid).alias("in_reply_to"))
+
+
 # ---- streams: run to the end of what is there, then read as a table ----
 
 

@@ -34,7 +34,8 @@ def read_mentions(spark: SparkSession, index: str, kind: str) -> DataFrame:
 
 def measured_files(spark: SparkSession, index: str) -> DataFrame:
     """kind, shard, count, sha256, bytes of every shard on disk, measured from the bytes (V3)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(index).filter(F.col("path").rlike(r"/(?:messages|bodies|cves|ghsas)/(?:\d{4}|all)\.jsonl?$"))
+    kinds = [f"{index}/{kind}" for kind in ("messages", "bodies", "cves", "ghsas")]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{json,jsonl}").load(kinds).filter(F.col("path").rlike(r"/(?:\d{4}|all)\.jsonl?$"))
     kind, shard = F.regexp_extract("path", r"/(\w+)/([^/]+)\.jsonl?$", 1), F.regexp_extract("path", r"/(\w+)/([^/]+)\.jsonl?$", 2)
     lines = F.regexp_count(F.col("content").cast("string"), F.lit("\n")).cast("long")
     count = F.when(kind.isin("messages", "bodies"), lines).otherwise(lines - 2)  # an object has a line for each id, and two braces
