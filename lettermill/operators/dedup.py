@@ -63,8 +63,13 @@ def purge_set(copies: DataFrame, scraped: Column, key: str = "mid") -> DataFrame
 
 
 def census(copies: DataFrame, kind: Column, key: str = "mid") -> DataFrame:
-    """pattern, keys: which kinds of copies the keys with several copies have."""
-    per = copies.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(kind)), "+").alias("pattern"), F.count("*").alias("n"))
+    """pattern, keys: how many copies of which kinds the keys with several copies have.
+
+    Kinds are counted first, so a key with very many copies is one short pattern.
+    """
+    each = copies.groupBy(key, kind.alias("kind")).agg(F.count("*").alias("n"))
+    said = F.transform(F.array_sort(F.collect_list(F.struct("kind", "n"))), lambda x: F.concat_ws(":", x["kind"], x["n"].cast("string")))
+    per = each.groupBy(key).agg(F.array_join(said, "+").alias("pattern"), F.sum("n").alias("n"))
     return per.filter("n > 1").groupBy("pattern").agg(F.count("*").alias("keys"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lettermill.functions import ids, mail, text
-from lettermill.operators import dedup, mentions, tallies, threads, validate
+from lettermill.operators import dedup, digests, mentions, tallies, threads, validate
 from lettermill.operators.components import connected_components
 from lettermill.session import materialize, scratch, table
 from lettermill.streaming import ingest
@@ -37,6 +37,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+def _texts() -> F.Column:
+    """Number of distinct texts, counted by digest: texts are not shuffled."""
+    return F.countDistinct(F.sha2(F.col("text").cast("binary"), 256))
+
+
 # ---- identifiers and mentions: page links stand in for identifiers, pages for messages ----
 
 _LINKS = r"""links AS (SELECT DISTINCT page_id, url, unnest(regexp_extract_all(html, 'href="/([A-Za-z]+)"', 1)) AS id FROM pages)"""
@@ -77,7 +82,7 @@ def q5_whole_thread(spark, d):
 @query("SELECT CAST(count(*) AS BIGINT) AS stored, CAST(count(DISTINCT text) AS BIGINT) AS messages, CAST(count(*) - count(DISTINCT text) AS BIGINT) AS duplicates FROM documents")
 def q6_headline_totals(spark, d):
     docs = table(spark, d, "documents")
-    return docs.agg(F.count("*").alias("stored"), F.countDistinct("text").alias("messages"), (F.count("*") - F.countDistinct("text")).alias("duplicates"))
+    return docs.agg(F.count("*").alias("stored"), _texts().alias("messages"), (F.count("*") - _texts()).alias("duplicates"))
 
 
 @query("SELECT source, doc_id FROM documents WHERE regexp_matches(lower(text), '\\bthe\\b') AND source = 'src3'")
@@ -87,15 +92,21 @@ def q8_term_search(spark, d):
     return table(spark, d, "documents").filter(term & (F.col("source") == "src3")).select("source", "doc_id")
 
 
-_SHARDS = "SELECT strftime(o_orderdate, '%Y') AS shard, CAST(count(*) AS BIGINT) AS n, md5(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)) AS digest FROM orders"
+def _digest_sql(rows: str) -> str:
+    """SQL of shard_digests over rows (shard, key, value)."""
+    return f"""SELECT shard, CAST(sum(n) AS BIGINT) AS n, CAST(sum(bytes) AS BIGINT) AS bytes, sha256(string_agg(sha, chr(10) ORDER BY block)) AS digest FROM (
+SELECT shard, key // 1000 AS block, count(*) AS n, sum(strlen(value)) AS bytes, sha256(string_agg(sha256(value), chr(10) ORDER BY key)) AS sha FROM ({rows}) GROUP BY shard, block) GROUP BY shard"""
+
+
+_ORDER_ROWS = "SELECT strftime(o_orderdate, '%Y') AS shard, o_orderkey AS key, o_orderkey || ':' || o_orderstatus AS value FROM orders"
 
 
 def _order_shards(orders: DataFrame) -> DataFrame:
-    keys = F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: x.cast("string")), ",")
-    return orders.groupBy(F.date_format("o_orderdate", "yyyy").alias("shard")).agg(F.count("*").alias("n"), F.md5(keys.cast("binary")).alias("digest"))
+    line = F.concat_ws(":", F.col("o_orderkey").cast("string"), "o_orderstatus")
+    return digests.shard_digests(orders, F.date_format("o_orderdate", "yyyy"), "o_orderkey", line)
 
 
-@query(f"""WITH old AS ({_SHARDS} WHERE o_orderdate < '1999-06-01' GROUP BY 1), new AS ({_SHARDS} GROUP BY 1)
+@query(f"""WITH old AS ({_digest_sql(_ORDER_ROWS + " WHERE o_orderdate < '1999-06-01'")}), new AS ({_digest_sql(_ORDER_ROWS)})
 SELECT coalesce(o.shard, n.shard) AS shard, o.n AS old_n, n.n AS new_n FROM old o FULL JOIN new n ON o.shard = n.shard WHERE o.digest IS DISTINCT FROM n.digest""")
 def q9_changed_shards(spark, d):
     orders = table(spark, d, "orders")
@@ -131,23 +142,19 @@ def k1_year_shards(spark, d):
     return rows.withColumn("row_no", F.row_number().over(Window.partitionBy("shard").orderBy("ts", "mid")).cast("long")).drop("ts")
 
 
-@query(f"""WITH m AS ({_MENTIONS}), s AS (SELECT id % 10 AS shard, id, mid, ts FROM m), e AS (SELECT shard, id, string_agg(CAST(mid AS VARCHAR), ',' ORDER BY ts, mid) AS list FROM s GROUP BY shard, id)
-SELECT shard, CAST(count(*) AS BIGINT) AS ids, sha256(string_agg(CAST(id AS VARCHAR) || ':[' || list || ']', chr(10) ORDER BY id)) AS digest FROM e GROUP BY shard""")
+_ID_ROWS = f"SELECT id % 10 AS shard, id AS key, id || ':[' || list || ']' AS value FROM (SELECT id, string_agg(CAST(mid AS VARCHAR), ',' ORDER BY ts, mid) AS list FROM ({_MENTIONS}) GROUP BY id)"
+
+
+@query(_digest_sql(_ID_ROWS))
 def k3_id_shards(spark, d):
     lists = mentions.inverted(_part_mentions(spark, d), ["ts", "mid"], ["mid"])
     line = F.concat(F.col("id").cast("string"), F.lit(":["), F.array_join(F.transform("mentions", lambda m: m["mid"].cast("string")), ","), F.lit("]"))
-    each = lists.select((F.col("id") % 10).alias("shard"), "id", line.alias("line"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "line"))), lambda x: x["line"]), "\n")
-    return each.groupBy("shard").agg(F.count("*").alias("ids"), F.sha2(body.cast("binary"), 256).alias("digest"))
+    return digests.shard_digests(lists, F.col("id") % 10, "id", line)
 
 
-@query("""SELECT lang AS shard, CAST(count(*) AS BIGINT) AS n, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
-sha256(string_agg(sha256(text), chr(10) ORDER BY doc_id)) AS digest FROM documents GROUP BY lang""")
+@query(_digest_sql("SELECT lang AS shard, doc_id AS key, text AS value FROM documents"))
 def a4_shard_manifest(spark, d):
-    # The digest of a shard is over its rows' digests in order, so no task holds a shard's texts.
-    rows = table(spark, d, "documents").select("lang", "doc_id", F.octet_length("text").cast("long").alias("bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "sha"))), lambda x: x["sha"]), "\n")
-    return rows.groupBy(F.col("lang").alias("shard")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.sha2(ordered.cast("binary"), 256).alias("digest"))
+    return digests.shard_digests(table(spark, d, "documents"), F.col("lang"), "doc_id", F.col("text"))
 
 
 # ---- copies: equal normal forms of documents are copies, the source gives the provenance, doc_id the order ----
@@ -193,7 +200,7 @@ def a2_body_conflict(spark, d):
     return dedup.conflicts(won, dedup.losers(turns, won))
 
 
-@query(f"WITH {_COPIES}, g AS (SELECT mid, count(*) AS n, string_agg(CASE WHEN source = 'src0' THEN 'maildir' ELSE 'scrape' END, '+' ORDER BY CASE WHEN source = 'src0' THEN 'maildir' ELSE 'scrape' END) AS pattern FROM copies GROUP BY mid) SELECT pattern, CAST(count(*) AS BIGINT) AS keys FROM g WHERE n > 1 GROUP BY pattern")
+@query(f"WITH {_COPIES}, k AS (SELECT mid, CASE WHEN source = 'src0' THEN 'maildir' ELSE 'scrape' END AS kind, count(*) AS n FROM copies GROUP BY ALL), g AS (SELECT mid, sum(n) AS n, string_agg(kind || ':' || n, '+' ORDER BY kind) AS pattern FROM k GROUP BY mid) SELECT pattern, CAST(count(*) AS BIGINT) AS keys FROM g WHERE n > 1 GROUP BY pattern")
 def a15_dup_census(spark, d):
     return dedup.census(_copies(spark, d), F.when(F.col("source") == "src0", "maildir").otherwise("scrape"))
 
@@ -217,8 +224,9 @@ def f1_drop_removed(spark, d):
 
 @query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE contains(d.text, b.text) AND b.item_id % 2 = 0 AND d.text = b.text) AND source = 'src1'")
 def j5_diff_against(spark, d):
-    docs = table(spark, d, "documents").filter("source = 'src1'")
-    return docs.join(table(spark, d, "benchmark").filter("item_id % 2 = 0").select("text"), "text", "left_anti").select("doc_id")
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("mid")
+    docs = table(spark, d, "documents").filter("source = 'src1'").select("doc_id", digest)
+    return docs.join(table(spark, d, "benchmark").filter("item_id % 2 = 0").select(digest), "mid", "left_anti").select("doc_id")
 
 
 @query("""WITH a AS (SELECT sha256(text) AS mid, doc_id AS seq FROM documents WHERE doc_id % 2 = 1), k AS (SELECT sha256(text) AS mid FROM documents WHERE doc_id % 2 = 0)
@@ -266,12 +274,12 @@ def g5_thread_roots(spark, d):
 @query("""SELECT CAST(count(*) AS BIGINT) AS stored, CAST(count(DISTINCT text) AS BIGINT) AS messages, CAST(count(DISTINCT source) AS BIGINT) AS sources,
 CAST(sum(strlen(text)) AS BIGINT) AS bytes, CAST(count(*) FILTER (WHERE n_chars > 4000) AS BIGINT) AS long_ones FROM documents""")
 def a6_totals(spark, d):
-    return table(spark, d, "documents").agg(F.count("*").alias("stored"), F.countDistinct("text").alias("messages"), F.countDistinct("source").alias("sources"), F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.count_if(F.col("n_chars") > 4000).alias("long_ones"))
+    return table(spark, d, "documents").agg(F.count("*").alias("stored"), _texts().alias("messages"), F.countDistinct("source").alias("sources"), F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.count_if(F.col("n_chars") > 4000).alias("long_ones"))
 
 
 @query("SELECT 'stored=' || count(*) || ' unique=' || count(DISTINCT text) || ' duplicates=' || (count(*) - count(DISTINCT text)) AS summary FROM documents")
 def a14_summary(spark, d):
-    n, u = F.count("*"), F.countDistinct("text")
+    n, u = F.count("*"), _texts()
     return table(spark, d, "documents").agg(F.format_string("stored=%d unique=%d duplicates=%d", n, u, n - u).alias("summary"))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lettermill import schemas
 from lettermill.functions.ids import cve_year, iso, year
 from lettermill.functions.text import json_string
-from lettermill.operators.mentions import inverted, mentions
+from lettermill.operators.mentions import mentions
 from lettermill.plans.index import Index
 from lettermill.session import materialize
 
@@ -53,14 +53,18 @@ def mention_line() -> F.Column:
 
 
 def put_shards(lines: DataFrame, out: str, kind: str, suffix: str, opening: str = "", joint: str = "\n", closing: str = "\n") -> DataFrame:
-    """shard, line, and order columns (ord1, ord2): one file for each shard; its manifest rows (K6)."""
+    """One file for each shard, streamed in the order of (ord1, ord2, ord3); its manifest rows (K6).
+
+    lines: shard, key, line and the order columns. With keys, lines of one key are the items of its list, so
+    that a list is written item by item, however long it is.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, where = fs.FileSystem.from_uri(out)
         done: list[tuple] = []
-        shard = file = None
+        shard = file = key = None
 
         def add(data: str) -> None:
             raw = data.encode()
@@ -70,14 +74,17 @@ def put_shards(lines: DataFrame, out: str, kind: str, suffix: str, opening: str
 
         def close() -> None:
             if file is not None:
-                add(closing)
+                add(("]" if key is not None else "") + closing)
                 file.close()
                 store.move(state["draft"], f"{where}/{kind}/{shard}.{suffix}")
                 done.append((kind, shard, state["count"], state["sha"].hexdigest(), state["bytes"]))
 
         state: dict = {}
         for batch in batches:
-            for name, line in zip(batch.column("shard").to_pylist(), batch.column("line").to_pylist(), strict=True):
+            for name, own, line in zip(*[batch.column(c).to_pylist() for c in ("shard", "key", "line")], strict=True):
+                if name == shard and own is not None and own == key:
+                    add("," + line)
+                    continue
                 if name != shard:
                     close()
                     shard = name
@@ -85,15 +92,16 @@ def put_shards(lines: DataFrame, out: str, kind: str, suffix: str, opening: str
                     file = store.open_output_stream(state["draft"])
                     add(opening)
                 elif state["count"]:
-                    add(joint)
-                add(line)
+                    add(("]" if key is not None else "") + joint)
+                key = own
+                add(line if key is None else f"{key}:[{line}")
                 state["count"] += 1
         close()
         cols = list(zip(*done, strict=True)) or [[]] * 5
         types = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=schemas.MANIFEST.names)
 
-    sorted_lines = lines.repartition("shard").sortWithinPartitions("shard", "ord1", "ord2").select("shard", "line")
+    sorted_lines = lines.repartition("shard").sortWithinPartitions("shard", "ord1", "ord2", "ord3").select("shard", "key", "line")
     return sorted_lines.mapInArrow(run, schemas.MANIFEST)
 
 
@@ -119,17 +127,14 @@ def export(index: Index, out: str, source: str, built_from: dict[str, str] | Non
     for kind in ("messages", "bodies", "cves", "ghsas"):
         fs, home = _fs(spark, f"{out}/{kind}")
         fs.mkdirs(home)
-    order = [F.col("ts").alias("ord1"), F.col("message_id").alias("ord2")]
-    shard = year(F.col("ts")).alias("shard")
+    plain = [year(F.col("ts")).alias("shard"), F.lit(None).cast("string").alias("key"), F.lit("").alias("ord1"), F.col("ts").alias("ord2"), F.col("message_id").alias("ord3")]
     parts = [
-        put_shards(index.messages.select(shard, *order, message_line().alias("line")), out, "messages", "jsonl"),
-        put_shards(index.bodies.select(shard, *order, body_line().alias("line")), out, "bodies", "jsonl"),
+        put_shards(index.messages.select(*plain, message_line().alias("line")), out, "messages", "jsonl"),
+        put_shards(index.bodies.select(*plain, body_line().alias("line")), out, "bodies", "jsonl"),
     ]
     for kind, column, of in (("cves", "cve_ids", cve_year(F.col("id"))), ("ghsas", "ghsa_ids", F.lit("all"))):
         found = mentions(index.messages, column, ["message_id", "date", "url", "thread_root", "ts"])
-        lists = inverted(found.withColumn("line", mention_line()), ["ts", "message_id"], ["line"])
-        line = F.concat(json_string(F.col("id")), F.lit(":["), F.array_join(F.transform("mentions", lambda m: m["line"]), ","), F.lit("]"))
-        rows = lists.select(of.alias("shard"), F.col("id").alias("ord1"), F.lit("").alias("ord2"), line.alias("line"))
+        rows = found.select(of.alias("shard"), json_string(F.col("id")).alias("key"), F.col("id").alias("ord1"), F.col("ts").alias("ord2"), F.col("message_id").alias("ord3"), mention_line().alias("line"))
         parts.append(put_shards(rows, out, kind, "json", "{\n", ",\n", "\n}\n"))
     wrote = materialize(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]), "manifest")
     manifest: dict = {"schema": schemas.SCHEMA_VERSION, "source": source, "generated_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime(generated_at)), "built_from": built_from or {}}
