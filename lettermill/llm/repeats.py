@@ -157,9 +157,9 @@ def _rows(cols: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols.values()], names=list(cols))
 
 
-KEYS = "bucket long, shard long, keys binary"
-FRAGMENTS = "bucket long, shard long, sizes binary, text binary, least binary"
-ANSWERS = "bucket long, shard long, at binary, least binary"
+KEYS = "bucket int, shard int, keys binary"
+FRAGMENTS = "bucket int, shard int, sizes binary, text binary, least binary"
+ANSWERS = "bucket int, shard int, at binary, least binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -189,7 +189,7 @@ def _send_keys(docs: DataFrame, folder: str, buckets: int) -> DataFrame:
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         out = [(b, unique[order[cuts[b] : cuts[b + 1]]].tobytes()) for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        yield _rows({"bucket": ([-1, *[b for b, _ in out]], pa.int64()), "shard": ([shard] * (len(out) + 1), pa.int64()), "keys": ([b"", *[x for _, x in out]], pa.binary())})
+        yield _rows({"bucket": ([-1, *[b for b, _ in out]], pa.int32()), "shard": ([shard] * (len(out) + 1), pa.int32()), "keys": ([b"", *[x for _, x in out]], pa.binary())})
 
     return docs.mapInArrow(run, KEYS)
 
@@ -212,7 +212,7 @@ def _answer_keys(table: pa.Table) -> pa.Table:
         if len(kept) or shard_only(table):
             out.append((shard, kept.tobytes()))
     bucket = table.column("bucket")[0].as_py()
-    return pa.table({"bucket": pa.array([bucket] * len(out), pa.int64()), "shard": pa.array([s for s, _ in out], pa.int64()), "keys": pa.array([k for _, k in out], pa.binary())})
+    return pa.table({"bucket": pa.array([bucket] * len(out), pa.int32()), "shard": pa.array([s for s, _ in out], pa.int32()), "keys": pa.array([k for _, k in out], pa.binary())})
 
 
 def shard_only(table: pa.Table) -> bool:
@@ -252,7 +252,7 @@ def _send_fragments(folder: str, buckets: int):
             bucket_list.append(bucket_of(fresh, buckets))
             table_of_runs.append((doc + first, start - bounds[doc], count, fragment))
         if not number:
-            return pa.table({c.split()[0]: pa.array([], t) for c, t in zip(FRAGMENTS.split(", "), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)})
+            return pa.table({c.split()[0]: pa.array([], t) for c, t in zip(FRAGMENTS.split(", "), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)})
         doc, start, count, fragment = (np.concatenate(x) for x in zip(*table_of_runs, strict=True))
         bucket = np.concatenate(bucket_list)
         least = np.full(len(number), NOBODY)
@@ -270,7 +270,7 @@ def _send_fragments(folder: str, buckets: int):
         offset = np.cumsum(sizes) - sizes
         _put(folder, f"runs-{shard}", pa.table({"doc": doc.astype(np.uint32), "start": start.astype(np.uint32), "count": count.astype(np.uint32), "answer": offset[place[fragment]]}))
         b, s, t, m = zip(*out, strict=True)
-        return pa.table({"bucket": pa.array(b, pa.int64()), "shard": pa.array([shard] * len(b), pa.int64()), "sizes": pa.array(s, pa.binary()), "text": pa.array(t, pa.binary()), "least": pa.array(m, pa.binary())})
+        return pa.table({"bucket": pa.array(b, pa.int32()), "shard": pa.array([shard] * len(b), pa.int32()), "sizes": pa.array(s, pa.binary()), "text": pa.array(t, pa.binary()), "least": pa.array(m, pa.binary())})
 
     return run
 
@@ -404,10 +404,10 @@ def remove_repeats(docs: DataFrame, bucket_text: int = BUCKET_TEXT) -> DataFrame
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_text))
     sent = _send_keys(rows, folder, buckets)
-    wanted = materialize(sent.groupBy("bucket").applyInArrow(_answer_keys, KEYS), "keys")
-    width = max(shuffle_width(spark), 2 * buckets)
-    fragments = wanted.repartition(width, "shard").groupBy("shard").applyInArrow(_send_fragments(folder, buckets), FRAGMENTS)
-    answers = materialize(fragments.groupBy("bucket").applyInArrow(_answer_fragments, ANSWERS), "answers")
+    width = max(shuffle_width(spark), buckets)  # each bucket has a partition of its own
+    wanted = materialize(sent.repartitionById(width, "bucket").groupBy("bucket").applyInArrow(_answer_keys, KEYS), "keys")
+    fragments = wanted.repartitionById(width, "shard").groupBy("shard").applyInArrow(_send_fragments(folder, buckets), FRAGMENTS)
+    answers = materialize(fragments.repartitionById(width, "bucket").groupBy("bucket").applyInArrow(_answer_fragments, ANSWERS), "answers")
     nothing = F.lit(None).cast("binary")
     every = answers.unionByName(wanted.filter("bucket < 0").select("bucket", "shard", nothing.alias("at"), nothing.alias("least")))
-    return every.repartition(width, "shard").groupBy("shard").applyInArrow(_remove(folder), OUT)
+    return every.repartitionById(width, "shard").groupBy("shard").applyInArrow(_remove(folder), OUT)
