@@ -3,8 +3,8 @@
 Every round rewrites edges so that each node points at a smaller neighbour: the large star links a node's
 larger neighbours to the node's least neighbour, the small star its smaller ones. Rounds are logarithmic in
 the component size. Each round's edges are written to the shared folder, so lineage stays one round deep and
-a lost executor costs one round. A star's centre may be hot: rounds only aggregate (min) and join, and the
-min is combined before the shuffle.
+a lost executor costs one round. A star's centre is often hot: its least neighbour is combined before the
+shuffle, and reaches the centre's edges by a join that spreads hot keys.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lettermill.operators.skew import join_unique
 from lettermill.session import materialize
 
 
@@ -22,13 +23,13 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     ways = _both_ways(edges)
     least = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return ways.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return join_unique(ways.filter("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    return down.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a != b").distinct()
+    return join_unique(down, least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a != b").distinct()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -41,5 +42,5 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         if state == before:
             break
         before = state
-        now = materialize(_small_star(_large_star(now)), "edges")
+        now = materialize(_small_star(materialize(_large_star(now), "stars")), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

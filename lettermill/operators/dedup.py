@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.functions.text import bodies_differ
+from lettermill.operators.skew import join_unique
 
 
 def provenance_rank(provenance: Column, ranks: tuple[str, ...]) -> Column:
@@ -26,7 +27,7 @@ def winners(copies: DataFrame, key: str = "mid", rank: str = "rank", seq: str =
 
 def losers(copies: DataFrame, won: DataFrame, key: str = "mid", seq: str = "seq") -> DataFrame:
     """All copies but the canonical ones."""
-    return copies.join(won.select(key, F.col(seq).alias("_won")), key).filter(F.col(seq) != F.col("_won")).drop("_won")
+    return join_unique(copies, won.select(key, F.col(seq).alias("_won")), key).filter(F.col(seq) != F.col("_won")).drop("_won")
 
 
 def duplicate_lists(lost: DataFrame, key: str = "mid", rank: str = "rank", seq: str = "seq", fields: tuple[str, ...] = ("blob", "provenance")) -> DataFrame:
@@ -41,7 +42,7 @@ def conflicts(won: DataFrame, lost: DataFrame, key: str = "mid", sha: str = "ful
 
     Copies with an equal digest are out before bodies are read, so few bodies are compared.
     """
-    pairs = won.select(key, F.col(sha).alias("_sha"), F.col(body).alias("_body")).join(lost.select(key, sha, body), key).filter(F.col(sha) != F.col("_sha"))
+    pairs = join_unique(lost.select(key, sha, body), won.select(key, F.col(sha).alias("_sha"), F.col(body).alias("_body")), key).filter(F.col(sha) != F.col("_sha"))
     return pairs.groupBy(key).agg(F.bool_or(bodies_differ(F.col("_sha"), F.col(sha), F.col("_body"), F.col(body))).alias("body_conflict"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.operators.components import connected_components
+from lettermill.operators.skew import join_unique
 
 
 def reply_edges(copies: DataFrame, mid: str = "mid", irt: str = "irt", refs: str = "refs") -> DataFrame:
@@ -34,4 +35,4 @@ def roots(rows: DataFrame, threads: DataFrame, mid: str = "mid", irt: str = "irt
     starts = F.col(irt).isNull() | (F.col(irt) == F.col(mid)) | F.col("_known").isNull()
     placed = own.select(mid, ts, starts.alias("starts")).join(threads, mid)
     root = placed.groupBy("thread").agg(F.min_by(mid, F.struct((~F.col("starts")).alias("later"), ts, mid)).alias("thread_root"))
-    return threads.join(root, "thread").select(mid, "thread_root")
+    return join_unique(threads, root, "thread").select(mid, "thread_root")

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lettermill.operators import dedup, pages, threads, validate
+from lettermill.operators import dedup, pages, skew, threads, validate
 from lettermill.operators.components import connected_components
 
 COPY = "mid string, seq long, rank int, blob string, provenance string, full_sha string, body string"
@@ -50,6 +50,23 @@ def test_components_against_union_find(spark, rows):
         assert got == {x: min(y for y in range(n) if find(y) == find(x)) for x in touched}
 
 
+def test_hot_keys_join_like_others(rows, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    left = rows([(k % 7 if k % 3 else 0, k) for k in range(300)], "k long, v long")
+    right = rows([(k, k * k) for k in range(5)], "k long, w long")
+    for limit in (1, 10, 1000):
+        monkeypatch.setattr(skew, "HOT_KEYS", limit)
+        got = sorted(tuple(r) for r in skew.join_unique(left, right, "k").select("k", "v", "w").collect())
+        assert got == sorted((k, v, k * k) for k, v in ((k % 7 if k % 3 else 0, k) for k in range(300)) if k < 5)
+
+
+def test_hubs_are_components_too(rows, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 5)
+    edges = [(1000, k) for k in range(40)] + [(k, 100 + k) for k in range(0, 40, 2)] + [(500, 501)]
+    got = {r["node"]: r["component"] for r in connected_components(rows(edges, "src long, dst long")).collect()}
+    assert got == {**{x: 0 for e in edges[:-1] for x in e}, 500: 500, 501: 500}
+
+
 def test_a_long_chain_is_one_component(rows):
     got = connected_components(rows([(k, k + 1) for k in range(100)], "src long, dst long"))
     assert got.select("component").distinct().count() == 1
