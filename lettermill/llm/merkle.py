@@ -180,11 +180,11 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     cuts = rows.approxQuantile("key", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
     bounds = np.array(sorted({int(c) for c in cuts}), dtype=np.int64)
 
-    @F.pandas_udf("long")
+    @F.pandas_udf("int")
     def range_of(keys):
         import pandas as pd
 
-        return pd.Series(np.searchsorted(bounds, keys.to_numpy(dtype=np.int64), side="right"))
+        return pd.Series(np.searchsorted(bounds, keys.to_numpy(dtype=np.int64), side="right").astype(np.int32))
 
     dealt = rows.withColumn("range", range_of("key"))
     # The least key of each range, to be added to the range before it (to the last one from the first).
@@ -193,7 +193,7 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     around = firsts.select(F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy())).alias("to"), F.col("first"))
     guests = rows.join(F.broadcast(around), F.col("key") == F.col("first")).select("doc_id", "key", "text", F.col("to").alias("range"), F.lit(1).alias("guest"))
     own = dealt.withColumn("guest", F.lit(0)).select("doc_id", "key", "text", "range", "guest")
-    together = own.unionByName(guests).repartition(2 * ranges, "range").sortWithinPartitions("range", "guest", "key", "text")
+    together = own.unionByName(guests).repartitionById(ranges, "range").sortWithinPartitions("range", "guest", "key", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple | None = None  # range, doc_id, text, tree
