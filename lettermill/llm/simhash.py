@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.operators.components import connected_components
+from lettermill.operators.skew import join_unique
 from lettermill.session import materialize
 
 SHINGLE = 4
@@ -232,10 +233,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     parts = connected_components(links(distinct.select("fp"), distance))
-    of = distinct.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("component", "fp").alias("part"))
+    of = materialize(distinct.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("component", "fp").alias("part")), "parts")
     least = of.groupBy("part").agg(F.min("first").alias("component_id"))
-    known = of.join(least, "part").select("fp", "component_id")
-    return prints.join(known, "fp").select("doc_id", "fp", "component_id")
+    known = join_unique(of, least, "part").select("fp", "component_id")
+    return join_unique(prints, known, "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp):
