@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from lettermill.functions import ids, mail, text
 from lettermill.operators import dedup, digests, mentions, tallies, threads, validate
 from lettermill.operators.components import connected_components
-from lettermill.session import materialize, scratch, table
+from lettermill.plans import index
+from lettermill.profile import Profile
+from lettermill.session import make_folder, materialize, scratch, table
+from lettermill.sinks.export import export
+from lettermill.sources.shards import manifest_rows
 from lettermill.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -629,6 +633,44 @@ def f6_self_reply(spark, d):
     return table(spark, d, "conversations").select(mid.alias("mid"), F.nullif(irt, mid).alias("in_reply_to"))
 
 
+# ---- the whole way: documents as stored mail, a third of them stored again as scraped copies ----
+
+
+def made_log(spark: SparkSession, d: str) -> DataFrame:
+    """STORED rows; every tenth document starts a thread that the nine after it reply to."""
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    k = lambda c: c.cast("string")
+    date = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 3600), "EEE, d MMM yyyy HH:mm:ss '+0000'")
+    first = F.col("doc_id") - F.col("doc_id") % 10
+    reply = F.when(first != F.col("doc_id"), F.concat(F.lit("In-Reply-To: <d"), k(first), F.lit("@x.org>\n"))).otherwise("")
+    head = F.concat(F.lit("Message-ID:\n <d"), k(F.col("doc_id")), F.lit("@x.org>\nDate: "), date, F.lit("\nFrom: Writer <w@x.org>\nSubject: On CVE-2024-"), k(F.col("doc_id") + 1000), F.lit("\nContent-Type: text/plain; charset=utf-8\n"))
+    scraped = F.concat(F.lit("X-Archive-Source: scrape\nX-Archive-Source-URL: https://archive.example.org/list/2024/01/01/"), k(F.col("doc_id")), F.lit("\n"))
+    full = docs.select((2 * F.col("doc_id")).alias("seq"), F.concat(head, reply, F.lit("\n"), "text").alias("raw"))
+    again = docs.filter("doc_id % 3 = 0").select((2 * F.col("doc_id") + 1).alias("seq"), F.concat(scraped, head, F.lit("\n"), "text", F.lit("\nfooter")).alias("raw"))
+    both = full.unionByName(again).withColumn("raw", F.encode("raw", "UTF-8"))
+    return both.select("seq", F.lit(0).alias("epoch"), F.lit("c").alias("commit"), F.lit(1800000000).cast("long").alias("commit_ts"), ids.blob_id(F.col("raw")).alias("blob"), "raw")
+
+
+@query("""SELECT 'd' || doc_id || '@x.org' AS message_id, 'maildir' AS provenance, CASE WHEN doc_id % 3 = 0 THEN 'scrape' ELSE '' END AS duplicates, false AS body_conflict,
+strftime(make_timestamp((1704067200 + doc_id * 3600) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS date, 'date' AS date_source, 'On CVE-2024-' || (doc_id + 1000) AS subject,
+CASE WHEN doc_id % 10 <> 0 THEN 'd' || (doc_id - doc_id % 10) || '@x.org' END AS in_reply_to, 'd' || (doc_id - doc_id % 10) || '@x.org' AS thread_root,
+CASE WHEN doc_id % 3 = 0 THEN 'https://archive.example.org/list/2024/01/01/' || doc_id ELSE 'https://archive.example.org/list/' || strftime(make_timestamp((1704067200 + doc_id * 3600) * 1000000), '%Y/%m/%d') END AS url,
+'CVE-2024-' || (doc_id + 1000) AS cve_ids, left(sha256(coalesce(text, '')), 12) AS body_sha FROM documents""")
+def index_messages(spark, d):
+    messages = index.build(made_log(spark, d), Profile()).messages
+    lists = {"duplicates": F.array_join(F.transform("duplicates", lambda x: x["provenance"]), ","), "cve_ids": F.array_join("cve_ids", ",")}
+    names = ("message_id", "provenance", "duplicates", "body_conflict", "date", "date_source", "subject", "in_reply_to", "thread_root", "url", "cve_ids", "body_sha")
+    return messages.select(*[lists.get(n, F.col(n)).alias(n) for n in names])
+
+
+@query(None)
+def index_export(spark, d):
+    """The manifest rows of a whole index, written to scratch (K1 to K7)."""
+    built = index.build(made_log(spark, d), Profile())
+    manifest = export(built, make_folder(spark, scratch(spark, "index")), "list", generated_at=0)
+    return manifest_rows(spark, manifest)
+
+
 # ---- streams: run to the end of what is there, then read as a table ----
 
 
