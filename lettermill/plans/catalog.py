@@ -633,6 +633,90 @@ def f6_self_reply(spark, d):
     return table(spark, d, "conversations").select(mid.alias("mid"), F.nullif(irt, mid).alias("in_reply_to"))
 
 
+# ---- sets, keys and small scalars ----
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS stored, CAST(count(DISTINCT text) AS BIGINT) AS messages, CAST(1706745600 - (SELECT floor(epoch(max(ts))) FROM events) AS BIGINT) AS source_lag_s,
+(SELECT CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) FROM events) AS failed FROM documents""")
+def q7_archive_health(spark, d):
+    events = table(spark, d, "events").agg(F.unix_seconds(F.max(F.col("ts").cast("timestamp"))).alias("newest"), F.count_if(F.col("event_type") == "error").alias("failed"))
+    docs = table(spark, d, "documents").agg(F.count("*").alias("stored"), _texts().alias("messages"))
+    return docs.crossJoin(events).select("stored", "messages", (F.lit(1706745600) - F.col("newest")).alias("source_lag_s"), "failed")  # one row each
+
+
+@query("SELECT event_id, CASE WHEN event_id % 31 BETWEEN 1 AND 28 AND event_id % 31 <= event_id % 37 AND event_id % 37 BETWEEN 1 AND 29 THEN event_id % 37 - event_id % 31 + 1 END AS days FROM events")
+def f19_date_validity(spark, d):
+    day = lambda m: F.concat(F.lit("2024-02-"), F.lpad((F.col("event_id") % m).cast("string"), 2, "0"))
+    start = F.when(F.col("event_id") % 31 <= 28, day(31)).otherwise("2024-2-x")
+    return table(spark, d, "events").select("event_id", F.size(ingest.valid_days(start, day(37))).cast("long").alias("n")).select("event_id", F.when(F.col("n") > 0, F.col("n")).alias("days"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey = o_custkey THEN 'CVE-2020-' || (1000 + o_orderkey) WHEN CAST(1000 + o_orderkey AS VARCHAR) < CAST(1000 + o_custkey AS VARCHAR) THEN 'CVE-2020-' || (1000 + o_orderkey) || ',CVE-2020-' || (1000 + o_custkey) ELSE 'CVE-2020-' || (1000 + o_custkey) || ',CVE-2020-' || (1000 + o_orderkey) END AS found FROM orders")
+def u2_id_union(spark, d):
+    cve = lambda c: F.concat(F.lit("cve-2020-"), (F.col(c) + 1000).cast("string"))
+    subject, body = cve("o_orderkey"), F.concat(cve("o_custkey"), F.lit("\n"), cve("o_orderkey"), F.lit("."))
+    return table(spark, d, "orders").select("o_orderkey", F.array_join(ids.cve_ids(subject, body), ",").alias("found"))
+
+
+@query("SELECT l_orderkey AS mid FROM lineitem WHERE l_quantity > 45 UNION SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P'")
+def u3_edge_union(spark, d):
+    lines = table(spark, d, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("mid"))
+    return lines.union(table(spark, d, "orders").filter("o_orderstatus = 'P'").select("o_orderkey")).distinct()
+
+
+@query("SELECT o_orderkey AS mid FROM orders EXCEPT SELECT l_orderkey FROM lineitem WHERE l_discount > 0.05")
+def u4_set_difference(spark, d):
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("mid")).subtract(table(spark, d, "lineitem").filter("l_discount > 0.05").select("l_orderkey"))
+
+
+@query("SELECT doc_id % 12 AS epoch, doc_id AS commit_no, CAST(row_number() OVER (ORDER BY doc_id % 12, doc_id) AS BIGINT) AS place FROM documents")
+def w2_global_sequence(spark, d):
+    # seq orders by epoch, then commit; its place is the rows of earlier epochs plus the place within.
+    rows = table(spark, d, "documents").select((F.col("doc_id") % 12).alias("epoch"), F.col("doc_id").alias("commit_no"))
+    sizes = rows.groupBy("epoch").agg(F.count("*").alias("n"))
+    before = sizes.select("epoch", F.coalesce(F.sum("n").over(Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row for each epoch
+    within = F.row_number().over(Window.partitionBy("epoch").orderBy("commit_no"))
+    return rows.withColumn("within", within).join(before, "epoch").select("epoch", "commit_no", (F.col("before") + F.col("within")).alias("place"))
+
+
+@query("SELECT o_orderkey AS mid, strftime(o_orderdate, '%Y') AS year, substr('CVE-' || (1990 + o_orderkey % 40) || '-12345', 5, 4) AS cve_year FROM orders")
+def x28_shard_keys(spark, d):
+    cve = F.concat(F.lit("CVE-"), (F.lit(1990) + F.col("o_orderkey") % 40).cast("string"), F.lit("-12345"))
+    seconds = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("mid"), ids.year(seconds).alias("year"), ids.cve_year(cve).alias("cve_year"))
+
+
+@query("SELECT doc_id, CASE WHEN source = 'src0' THEN 'scrape' ELSE 'maildir' END AS provenance, CASE WHEN source = 'src0' THEN 3 ELSE 1 END AS rank FROM documents")
+def p3_provenance_default(spark, d):
+    said = F.when(F.col("source") == "src0", " scrape ").otherwise(" ")
+    kept = F.coalesce(F.nullif(text.fold(said), F.lit("")), F.lit(Profile().fallback_provenance))
+    return table(spark, d, "documents").select("doc_id", kept.alias("provenance"), dedup.provenance_rank(kept, Profile().ranks).alias("rank"))
+
+
+@query("SELECT doc_id, sha256(regexp_replace(text, '[\t\r\n]+', ' ', 'g')) AS squashed, CAST(strlen(replace(text, chr(13) || chr(10), chr(10))) AS BIGINT) AS bytes FROM documents")
+def x35_squash(spark, d):
+    unix = F.octet_length(text.unix_lines(F.concat(F.replace("text", F.lit("\n"), F.lit("\r\n"))))).cast("long")
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.squash_tabs(F.col("text")).cast("binary"), 256).alias("squashed"), unix.alias("bytes"))
+
+
+@query("SELECT o_orderkey, 'Received,X-Spam-Flag,X-Rspamd-Score,Received,DKIM-Signature,Message-ID,Date,References' || CASE WHEN o_orderstatus = 'F' THEN ',In-Reply-To' ELSE '' END AS names, 'Message-ID: <body@x.org>' AS body FROM orders")
+def x5_header_unfold(spark, d):
+    names = F.array_join(F.transform("hs", lambda h: h["name"]), ",")
+    return _made_mail(spark, d).select("o_orderkey", names.alias("names"), F.trim(F.regexp_replace("rest", r"\r\n", "")).alias("body"))
+
+
+@query("SELECT event_id, event_id % 2 = 0 AS stamp FROM events")
+def x31_qmail_stamp(spark, d):
+    said = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("(qmail "), F.col("event_id").cast("string"), F.lit(" invoked by uid 5); date"))).otherwise("from x by y (qmail 1 invoked by uid 5)")
+    return table(spark, d, "events").select("event_id", mail.is_qmail_stamp(said).alias("stamp"))
+
+
+@query("WITH b AS (SELECT sha1('blob ' || strlen(text) || chr(0) || text) AS blob, doc_id FROM documents) SELECT DISTINCT blob FROM b WHERE doc_id >= 900 AND blob NOT IN (SELECT blob FROM b WHERE doc_id < 900)")
+def j15_blob_subset(spark, d):
+    blobs = table(spark, d, "documents").select("doc_id", ids.blob_id(F.col("text").cast("binary")).alias("blob"))
+    return blobs.filter("doc_id >= 900").select("blob").distinct().join(blobs.filter("doc_id < 900").select("blob"), "blob", "left_anti")
+
+
 # ---- the whole way: documents as stored mail, a third of them stored again as scraped copies ----
 
 

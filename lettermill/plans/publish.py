@@ -120,3 +120,8 @@ def rewrite_log(stored: DataFrame, hop: str, drop: list[str] = ()) -> tuple[Data
     counters = clean.agg(F.count_if(F.col("clean") != F.col("raw")).alias("changed"), F.sum(F.octet_length("raw") - F.octet_length("clean")).alias("bytes_removed"), F.count_if(~F.col("proven")).alias("unproven"))
     rewritten = clean.withColumn("raw", F.col("clean")).withColumn("blob", blob_id(F.col("clean"))).select(*stored.columns, "proven", "residual")
     return rewritten, listed.join(stored.select("blob"), "blob", "left_anti"), counters
+
+
+def unexpected_blobs(written: DataFrame, rewritten: DataFrame) -> DataFrame:
+    """Blobs of a written log that the rewrite did not give: none, if the swap may go on."""
+    return written.select("blob").distinct().join(rewritten.select("blob").distinct(), "blob", "left_anti")

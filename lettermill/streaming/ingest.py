@@ -36,6 +36,14 @@ def remaining_days(start, end, done=None, reverse: bool = False):
     return F.reverse(days) if reverse else days
 
 
+def valid_days(start, end):
+    """Days of a range given as text; null unless both are dates and in order."""
+    form = r"^\d{4}-\d{2}-\d{2}$"
+    a, b = F.try_to_date(start, "yyyy-MM-dd"), F.try_to_date(end, "yyyy-MM-dd")
+    fine = start.rlike(form) & end.rlike(form) & a.isNotNull() & b.isNotNull() & (a <= b)
+    return F.when(fine, F.sequence(a, F.greatest(a, b)))
+
+
 def read_log(spark: SparkSession, log: str, schema) -> DataFrame:
     """The log so far; a log not yet written is empty."""
     from pyspark.errors import AnalysisException
