@@ -22,8 +22,20 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
+class Memo(dict):
+    """Ids of words, made when first asked for; what an older memo knew is taken over."""
+
+    def __init__(self, make, older: dict[bytes, bytes]):
+        super().__init__()
+        self.make, self.older = make, older
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.older.get(word) or self.make(word)
+        return ids
+
+
 class WordIds:
-    """encode(text bytes) -> little-endian uint32 ids, as bytes; equal to encoding the whole text.
+    """encode_all(texts) -> little-endian uint32 ids, as bytes; equal to encoding the whole texts.
 
     Words of Latin-1 letters go straight to the vocabulary's merge model: they are in normal form, so only
     lower case and the byte alphabet are left to do. Other words go through the whole tokenizer. The memo
@@ -37,8 +49,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.symbols = byte_symbols()
-        self.words: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.words = Memo(self._ids, {})
         self.tails: dict[bytes, bytes] = {b"": b""}
 
     def _whole(self, word: bytes) -> bytes:
@@ -62,34 +73,13 @@ class WordIds:
             self.tails[tail] = self._whole(tail)
         return ids + self.tails[tail]
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.words) > MEMO_WORDS:
-            self.older, self.words = self.words, {}
-        for w in words - self.words.keys():
-            self.words[w] = self.older.get(w) or self._ids(w)
-
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of many texts; learns words a bounded stretch of texts at a time."""
-        out: list[bytes] = []
-        block: list[list[bytes]] = []
-        size = 0
-
-        def flush() -> None:
-            seen: set[bytes] = set()
-            for ws in block:
-                seen.update(ws)
-            self.learn(seen)
-            get = self.words.__getitem__
-            out.extend(b"".join(map(get, ws)) for ws in block)
-            block.clear()
-
+        out = []
         for text in texts:
-            block.append(text.split())
-            size += len(text)
-            if size > 2_000_000:
-                flush()
-                size = 0
-        flush()
+            if len(self.words) > MEMO_WORDS:
+                self.words.older = {}
+                self.words = Memo(self._ids, self.words)
+            out.append(b"".join(map(self.words.__getitem__, text.split())))
         return out
 
 
