@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.operators.skew import join_unique
+from lettermill.operators.skew import HOT_ROWS, join_unique
 from lettermill.session import materialize
 
 
@@ -20,16 +20,16 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     ways = _both_ways(edges)
     least = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return join_unique(ways.filter("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return join_unique(ways.filter("b > a"), least, "a", rows).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    return join_unique(down, least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a != b").distinct()
+    return join_unique(down, least, "a", rows).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a != b").distinct()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -42,5 +42,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         if state == before:
             break
         before = state
-        now = materialize(_small_star(materialize(_large_star(now), "stars")), "edges")
+        rows = state[0]  # neither star has more than a row for each edge
+        stars = _large_star(now, rows)
+        now = materialize(_small_star(stars if rows <= HOT_ROWS else materialize(stars, "stars"), rows), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

@@ -16,10 +16,15 @@ HOT_KEYS = 1000
 HOT_ROWS = 100_000
 
 
-def join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join on key, of which right has each value once. left is read several times if it is large."""
+def join_unique(left: DataFrame, right: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
+    """Inner join on key, of which right has each value once. left is read several times if it is large.
+
+    at_most: a known bound of left's rows, which saves counting them.
+    """
+    if at_most is not None and at_most <= HOT_ROWS:  # no task gets more
+        return left.join(right, key)
     rows = left.count()
-    if rows <= HOT_ROWS:  # no task gets more
+    if rows <= HOT_ROWS:
         return left.join(right, key)
     hot = left.groupBy(key).count().filter(F.col("count") > max(HOT_ROWS, rows // HOT_KEYS)).select(key)
     known = materialize(hot.join(right, key), "hot-keys")
