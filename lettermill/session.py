@@ -28,14 +28,21 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, so that Spark and Python tasks mean the same store by it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
     Only a local-mode session that names none (as in tests) gets a folder of its own.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        return qualified(spark, named)
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _OWN_DIR:
