@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lettermill.operators.skew import join_unique
 from lettermill.session import make_folder, materialize, scratch
 
 MAGIC = b"WARC/1.0\r\n"
@@ -36,6 +37,8 @@ HEADER_BYTES = 64 << 10
 DEDUP_BYTES = 1000
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 16 << 20
+ROW_BITS = 33  # of a row number that count within a partition
+PART_BITS = 6  # so many partitions' revisits, as a power of two, are told in one folder
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
@@ -64,6 +67,26 @@ def record(page: str, url: str | None, payload: bytes, length: int, digest: str,
     return "\r\n".join(head).encode() + block + b"\r\n\r\n"
 
 
+def revisits_of(told: str, row: int) -> dict[int, int | None]:
+    """Of the input partition that a row is in: the rows to be written as revisits, and what they refer to.
+
+    Which rows those are is known by row number, and a row number begins with its partition's, so a task
+    reads what is told of its own rows and no page is shuffled.
+    """
+    from pyarrow import fs, parquet
+
+    store, where = _file_system(f"{told}/part={row >> (ROW_BITS + PART_BITS)}")
+    found = store.get_file_info(fs.FileSelector(where, allow_not_found=True))
+    out: dict[int, int | None] = {}
+    for info in found:
+        if info.base_name.endswith(".parquet") and info.base_name[0] not in "._":
+            with store.open_input_file(info.path) as f:
+                table = parquet.read_table(f, columns=["_row", "refers"])
+            mine = {r: x for r, x in zip(table.column("_row").to_pylist(), table.column("refers").to_pylist(), strict=True) if r >> ROW_BITS == row >> ROW_BITS}
+            out |= mine
+    return out
+
+
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write all pages as records; the manifest of the archives written."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
@@ -71,17 +94,23 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
     digests = materialize(rows.select("_row", "page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("length")), "digests")
     rank = F.struct(F.col("page_id").isNotNull().alias("known"), F.col("page_id").alias("page_id"), (-F.col("_row")).alias("row"))
     groups = digests.filter(F.col("length") >= DEDUP_BYTES).groupBy("digest", "length").agg(F.max(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    revisits = digests.join(groups, ["digest", "length"]).filter(F.col("_row") != -F.col("first.row")).select(F.col("_row").alias("_again"), F.col("first.page_id").alias("refers"), F.lit(True).alias("again"))
-    chosen = rows.withColumns({"digest": F.sha1("payload")}).join(revisits, F.col("_row") == F.col("_again"), "left").select("page_id", "url", F.octet_length("payload").cast("long").alias("length"), "digest", "refers", F.coalesce("again", F.lit(False)).alias("again"), F.when(F.col("again").isNull(), F.col("payload")).alias("payload"))
+    revisits = join_unique(digests, groups.drop("length"), "digest").filter(F.col("_row") != -F.col("first.row")).select("_row", F.col("first.page_id").alias("refers"))
+    told = scratch(pages.sparkSession, "revisits")
+    part = F.shiftright("_row", ROW_BITS + PART_BITS)
+    revisits.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(told)
+    chosen = rows.select("_row", "page_id", "url", F.octet_length("payload").cast("long").alias("length"), F.sha1("payload").alias("digest"), "payload")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, where = _file_system(folder)
         out, path, size, count, done = None, "", 0, 0, []
+        again: dict[int, int | None] | None = None
         for batch in batches:
-            cols = [batch.column(k) for k in ("page_id", "url", "length", "digest", "refers", "again", "payload")]
+            cols = [batch.column(k) for k in ("_row", "page_id", "url", "length", "digest", "payload")]
             for k in range(batch.num_rows):
-                page, url, length, digest, refers, again, data = (c[k].as_py() for c in cols)
-                raw = record(str(page), url, data or b"", length, digest, str(refers) if again else None)
+                row, page, url, length, digest, data = (c[k].as_py() for c in cols)
+                if again is None:
+                    again = revisits_of(told, row)
+                raw = record(str(page), url, data, length, digest, str(again[row]) if row in again else None)
                 if out is not None and size + len(raw) > file_bytes:
                     out.close()
                     done.append((path, size, count))
