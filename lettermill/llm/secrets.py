@@ -26,7 +26,7 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # the + form with 16+ characters: a run that is too short has no longer one inside
 HEX = r"[0-9a-f]{32,}"
 WEAK_ID = r"(?<![A-Za-z0-9])(?:AKIA|ASIA|AIDA|AROA)[A-Z0-9]{4,11}(?![A-Za-z0-9])|(?i:client_?id|access_?key_?id|user_?name)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,}"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/]{0,40}[0-9])(?=[a-z0-9+/]{0,40}[A-Z])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/_.=-])"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/]{0,40}[0-9])(?=[a-z0-9+/]{0,40}[A-Z])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/_.=-])"
 ENDPOINT = r"(?<![A-Za-z0-9])[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D\"'<>]+"
 
 #: kind, pattern, cheap test for texts that cannot match, role, and the roles a weak span needs near it.

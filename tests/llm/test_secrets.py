@@ -52,6 +52,19 @@ def test_weak_parts_are_reported_only_together(docs_of):
     assert texts[1][start:end] == OPAQUE
 
 
+def test_opaque_values_directly_after_an_equals_sign(docs_of):
+    values = [f"AWS_SECRET_ACCESS_KEY={OPAQUE}", f"AWS_SECRET_ACCESS_KEY = {OPAQUE}", f'AccountKey="{OPAQUE}"', f"AccountKey='{OPAQUE}'", f"AccountKey={OPAQUE}==;x=y"]
+    texts = [f"{KEY}\n{v}\nhttps://vault.example.org/x" for v in values]
+    rows = {r["doc_id"]: r for r in secrets.find_secrets(docs_of([*texts, values[0]])).collect()}
+    for k, text in enumerate(texts):
+        assert kinds(rows[k]) == ["access", "endpoint", "weak_secret"], text
+        start, end = next(tuple(map(int, x.split(":")[1:])) for x in rows[k]["spans"].split(",") if x.startswith("weak_secret"))
+        assert text[start:end].rstrip("=") == OPAQUE
+    assert kinds(rows[len(texts)]) == []
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs_of(texts)).collect()}
+    assert all(OPAQUE not in t for t in masked.values())
+
+
 def test_scope_is_decided_exactly(docs_of):
     for gap in (400, 490, 491, 492, 493, 600):
         text = KEY + " " * gap + OPAQUE
