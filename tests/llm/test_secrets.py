@@ -65,6 +65,16 @@ def test_opaque_values_directly_after_an_equals_sign(docs_of):
     assert all(OPAQUE not in t for t in masked.values())
 
 
+def test_whole_temporary_and_role_identifiers(docs_of):
+    ids = [x + "ABCDEFGH12345678" for x in ("ASIA", "AIDA", "AROA")] + ["ASIA" + "ABCDEFGH" * 4, "AKIAABCDEFGH123"]
+    ids += [f"client_id={OPAQUE[::-1]}"]
+    texts = [t for x in ids for t in (x, f"{x} {OPAQUE} https://vault.example.org/x")]
+    rows = {r["doc_id"]: r for r in secrets.find_secrets(docs_of(texts)).collect()}
+    assert [kinds(rows[k]) for k in range(len(texts))] == [[], ["endpoint", "weak_id", "weak_secret"]] * len(ids)
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs_of(texts)).collect()}
+    assert [masked[2 * k + 1] for k in range(len(ids))] == ["[REDACTED] [REDACTED] [REDACTED]"] * len(ids)
+
+
 def test_scope_is_decided_exactly(docs_of):
     for gap in (400, 490, 491, 492, 493, 600):
         text = KEY + " " * gap + OPAQUE
