@@ -7,7 +7,8 @@ Reading: archives are cut into splits of bytes. For each split a task looks for
 also inside payloads, and emits a pair (candidate, successor) for every place whose header parses; chains
 within a split are contracted at once. Pointer jumping from the start of each file then doubles the reach
 over the pairs, so after log2(splits) rounds exactly the records on the chain from offset 0 are kept: magic
-in a payload is never on it. Tasks read each split from its verified entry on.
+in a payload is never on it. Tasks read each split from its verified entry on. A header may be of any length:
+what is read goes on until it ends. The records on each archive's chain must be as many as its manifest says.
 
 Scale: a task holds one split; rounds move one row for each candidate that some chain enters a split by.
 
@@ -33,7 +34,7 @@ from lettermill.operators.skew import join_unique
 from lettermill.session import make_folder, materialize, scratch
 
 MAGIC = b"WARC/1.0\r\n"
-HEADER_BYTES = 64 << 10
+HEADER_BYTES = 64 << 10  # are read beyond a split at first; a header that is longer is read on
 DEDUP_BYTES = 1000
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 16 << 20
@@ -138,7 +139,7 @@ def parse_header(data: bytes, at: int) -> tuple[dict[bytes, bytes], int] | None:
     """Header fields (names in lower case) and where the block begins, or None."""
     if data[at : at + len(MAGIC)] != MAGIC:
         return None
-    end = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
+    end = data.find(b"\r\n\r\n", at)
     if end < 0:
         return None
     fields = {}
@@ -152,12 +153,47 @@ def parse_header(data: bytes, at: int) -> tuple[dict[bytes, bytes], int] | None:
     return fields, end + 4
 
 
+def header_open(data: bytes, at: int) -> bool:
+    """Whether the header that begins at `at` may end beyond data: no end, and no whole line that is not a field."""
+    return data.find(b"\r\n\r\n", at) < 0 and all(b":" in line for line in data[at + len(MAGIC) :].split(b"\r\n")[:-1])
+
+
+def read_on(f, data: bytes, at: int, left: int) -> bytes:
+    """data, and what follows it in f (`left` bytes) as far as the header that begins at `at` needs."""
+    more = HEADER_BYTES
+    while left > 0 and header_open(data, at):
+        data += (part := f.read(min(more, left)))
+        if not part:
+            break
+        left, more = left - len(part), 2 * more
+    return data
+
+
 def candidate_links(data: bytes, base: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets of candidates in data[: stop - base], and where each says its successor is."""
-    found, at = [], data.find(MAGIC)
+    """Offsets of candidates in data[: stop - base], and where each says its successor is.
+
+    Candidates before the same end of a header share its lines, so these are looked at once: as in
+    parse_header, each line must be a field, and the last Content-Length counts.
+    """
+    found, end, bad, sized, size = [], -1, -1, -1, b""
+    at = data.find(MAGIC)
     while 0 <= at < stop - base:
-        if parsed := parse_header(data, at):
-            found.append((base + at, base + parsed[1] + int(parsed[0][b"content-length"]) + 4))
+        line = at + len(MAGIC)
+        if end < at:
+            end = data.find(b"\r\n\r\n", at)
+            if end < 0:
+                break
+            bad, sized = -1, -1
+            place = line
+            for text in data[line:end].split(b"\r\n"):
+                name, colon, value = text.partition(b":")
+                if not colon:
+                    bad = place
+                elif name.strip().lower() == b"content-length":
+                    sized, size = place, value.strip()
+                place += len(text) + 2
+        if bad < line <= sized and re.fullmatch(rb"\d{1,15}", size):
+            found.append((base + at, base + end + 4 + int(size) + 4))
         at = data.find(MAGIC, at + 1)
     both = np.array(found, dtype=np.int64).reshape(-1, 2)
     return both[:, 0], both[:, 1]
@@ -175,6 +211,18 @@ def contracted(offsets: np.ndarray, successors: np.ndarray, stop: int) -> np.nda
     return np.where(left >= stop, left, -1)
 
 
+def chain_records(offsets: np.ndarray, successors: np.ndarray) -> np.ndarray:
+    """How many records each candidate's chain has in the split, itself included."""
+    n = len(offsets)
+    at = np.searchsorted(offsets, successors)
+    inside = (at < n) & (offsets[np.minimum(at, n - 1)] == successors)
+    jump = np.where(inside, at, np.arange(n))
+    hops = inside.astype(np.int64)
+    for _ in range(max(1, n).bit_length()):
+        hops, jump = hops + hops[jump], jump[jump]
+    return hops + 1
+
+
 def splits_of(manifest: DataFrame, split_bytes: int) -> DataFrame:
     """A row for each split of each archive, spread over the tasks."""
     cut = F.sequence(F.lit(0).cast("long"), F.floor((F.col("bytes") - 1) / split_bytes).cast("long"))
@@ -183,7 +231,7 @@ def splits_of(manifest: DataFrame, split_bytes: int) -> DataFrame:
 
 
 def candidates(splits: DataFrame) -> DataFrame:
-    """path, split, off, exit: every candidate and where its chain leaves its split."""
+    """path, split, off, exit, records: every candidate, where its chain leaves its split, and its records there."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,16 +240,21 @@ def candidates(splits: DataFrame) -> DataFrame:
                 with store.open_input_file(path) as f:
                     f.seek(row["start"])
                     data = f.read(min(row["bytes"], row["stop"] + HEADER_BYTES) - row["start"])
+                    size = row["stop"] - row["start"]
+                    # If any candidate's header goes on, so does the last one's.
+                    if (last := data.rfind(MAGIC, 0, size - 1 + len(MAGIC))) >= 0:
+                        data = read_on(f, data, last, row["bytes"] - row["start"] - len(data))
                 offsets, successors = candidate_links(data, row["start"], row["stop"])
                 exits = contracted(offsets, successors, row["stop"]) if len(offsets) else offsets
+                records = chain_records(offsets, successors) if len(offsets) else offsets
                 n = len(offsets)
-                yield pa.RecordBatch.from_arrays([pa.array([row["path"]] * n, pa.string()), pa.array([row["split"]] * n, pa.int64()), pa.array(offsets), pa.array(exits)], names=["path", "split", "off", "exit"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["path"]] * n, pa.string()), pa.array([row["split"]] * n, pa.int64()), pa.array(offsets), pa.array(exits), pa.array(records)], names=["path", "split", "off", "exit", "records"])
 
-    return splits.repartition("path", "split").mapInArrow(run, "path string, split long, off long, exit long")
+    return splits.repartition("path", "split").mapInArrow(run, "path string, split long, off long, exit long, records long")
 
 
 def verified_entries(found: DataFrame) -> DataFrame:
-    """path, split, off: where the chain from each file's start enters each split."""
+    """path, split, entry, records: where the chain from each file's start enters each split, and its records there."""
     targets = found.filter("exit >= 0").select("path", F.col("exit").alias("off")).distinct()
     entries = found.join(targets, ["path", "off"], "left_semi")
     jump = materialize(entries.select("path", "off", "exit"), "jumps")
@@ -219,13 +272,17 @@ def verified_entries(found: DataFrame) -> DataFrame:
             onward = jump.select("path", F.col("off").alias("exit"), F.col("exit").alias("next"))
             jump = materialize(jump.join(onward, ["path", "exit"]).select("path", "off", F.col("next").alias("exit")), "jumps")
         first = False
-    return found.join(reach.select("path", "off"), ["path", "off"], "left_semi").groupBy("path", "split").agg(F.min("off").alias("entry"))
+    return found.join(reach.select("path", "off"), ["path", "off"], "left_semi").groupBy("path", "split").agg(F.min("off").alias("entry"), F.min_by("records", "off").alias("records"))
 
 
 def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """RECORD rows of all records that the chains reach; each payload is hashed again and compared."""
     splits = splits_of(manifest, split_bytes)
-    entries = verified_entries(materialize(candidates(splits), "candidates"))
+    entries = materialize(verified_entries(materialize(candidates(splits), "candidates")), "entries")
+    reached = entries.groupBy("path").agg(F.sum("records").alias("reached"))
+    short = manifest.join(reached, "path", "left").filter(F.coalesce("reached", F.lit(0)) != F.col("records")).first()
+    if short is not None:
+        raise ValueError(f"{short['path']}: the number of records differs from the manifest's: {short['reached'] or 0}, not {short['records']}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in RECORD.split(", ")]
@@ -240,6 +297,7 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
                     while at < row["stop"]:
                         if len(data) - (at - base) < HEADER_BYTES and base + len(data) < row["bytes"]:  # the header may end beyond
                             data += f.read(HEADER_BYTES)
+                        data = read_on(f, data, at - base, row["bytes"] - base - len(data))
                         parsed = parse_header(data, at - base)
                         if parsed is None:
                             raise ValueError(f"{row['path']}: no record at {at}")
@@ -252,7 +310,7 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
                 cols = list(zip(*out, strict=True)) or [[]] * len(types)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    return splits.join(entries, ["path", "split"]).repartition("path", "split").mapInArrow(run, RECORD)
+    return splits.join(entries.drop("records"), ["path", "split"]).repartition("path", "split").mapInArrow(run, RECORD)
 
 
 def _page(urn: bytes | None) -> int | None:

@@ -60,6 +60,37 @@ def test_empty_table(spark, stored):
     assert got.collect() == []
 
 
+def test_headers_of_any_length(spark, stored):
+    long = "http://h/" + "u" * 200_000
+    pages = [(0, long, "a"), (1, "v", "x" * 300), (2, long + "2", None), (3, "w", "WARC/1.0\r\na: " * 50), (4, long + "4", "end")]
+    for split in (3000, 1 << 20):
+        for order in (pages, pages[1:]):
+            df = stored([(*p, "x", 1) for p in order], PAGES, 1)
+            got = warc.read_archives(warc.write_archives(df, f"{shared_dir(spark)}/warc-test-{random.random()}"), split).collect()
+            assert sorted((r["page_id"], r["url"], r["payload_bytes"]) for r in got) == [(p, u, len(h or "")) for p, u, h in order]
+
+
+def test_candidates_are_what_parses():
+    rng = random.Random(7)
+    parts = [b"WARC/1.0\r\n", b"a: b\r\n", b"Content-Length: 7\r\n", b"Content-Length: x\r\n", b"\r\n", b"text", b"a:WARC/1.0\r\n", b"\r"]
+    for _ in range(3000):
+        data = b"".join(rng.choice(parts) for _ in range(rng.randrange(25)))
+        stop = rng.randrange(len(data) + 1)
+        places = [k for k in range(stop) if data.startswith(warc.MAGIC, k)]
+        expected = [(100 + k, 100 + x[1] + int(x[0][b"content-length"]) + 4) for k in places if (x := warc.parse_header(data, k))]
+        offsets, successors = warc.candidate_links(data, 100, 100 + stop)
+        assert list(zip(offsets.tolist(), successors.tolist(), strict=True)) == expected
+
+
+def test_a_lost_record_is_an_error(spark, stored):
+    import pytest
+    from pyspark.sql import functions as F
+
+    manifest, _ = trip(spark, stored, [(k, "u", "x" * 50) for k in range(5)])
+    with pytest.raises(ValueError, match="differs from the manifest"):
+        warc.read_archives(manifest.withColumn("records", F.col("records") + 1), 700)
+
+
 def test_contraction_follows_chains_to_the_end_of_the_split():
     offsets = np.array([0, 10, 13, 20])
     successors = np.array([10, 20, 17, 35])
