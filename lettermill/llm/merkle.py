@@ -2,8 +2,10 @@
 
 A text is cut, losing no byte, into sections (blank lines, and lines whose hash says so), sections into
 paragraphs (lines), paragraphs into pieces of some words at content-defined places, so that an edit moves
-no cut far from it. Every node's digest is the hash of its children's; the root tells whether texts are
-equal, and only differing branches are descended to locate an edit or to measure likeness.
+no cut far from it. A paragraph's digest is the hash of its bytes, that of a node above the hash of its
+children's; the root tells whether texts are equal, and only differing branches are descended to locate an
+edit or to measure likeness. Digests do not depend on the text's length. How fine the pieces are is chosen
+for each pair of texts, by the shorter one, so that both are cut alike.
 
 The fingerprint is the root digest and the short digests of the sections. The likeness of two trees is the
 share of text (Dice, by bytes) in equal branches: whole equal sections first, then equal paragraphs of the
@@ -23,7 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 RANGE_ROWS = 2048
 MOST_RANGES = 10_000
-#: Which word ends also end a piece, by the text's length: those of a longer text are among those of a shorter.
+#: Which word ends also end a piece, by the length of the shorter of two texts.
 PIECE_CUTS = ((512, 0xFFFF_FFFF), (4096, 0x7FFF_FFFF), (1 << 62, 0x3FFF_FFFF))
 MOST_WORDS = 16  # and so does every 16th without such an end
 SECTION_CUT = 8  # one line in eight ends a section
@@ -46,25 +48,37 @@ def _digest(data: bytes) -> bytes:
 class Tree:
     """Digests and byte lengths by level; children of node k of a level are first[k]..first[k + 1] below."""
 
+    text: bytes
     root: bytes
     sections: list[bytes]
     section_sizes: list[int]
     section_first: list[int]
     paragraphs: list[bytes]
     paragraph_sizes: list[int]
-    paragraph_first: list[int]
-    pieces: list[bytes]
-    piece_sizes: list[int]
+    cut: dict[int, tuple[list[bytes], list[int]]] = field(default_factory=dict)
 
     @property
     def size(self) -> int:
-        return sum(self.section_sizes)
+        return len(self.text)
+
+    @property
+    def piece_sizes(self) -> list[int]:
+        return [len(x) for x in self.pieces(self.size)[0]]
 
     def fingerprint(self) -> str:
         return self.root.hex() + ":" + "".join(s[:4].hex() for s in self.sections)
 
+    def pieces(self, shorter: int) -> tuple[list[bytes], list[int]]:
+        """The text's pieces for a pair whose shorter text has so many bytes; the first one of each paragraph."""
+        most = next(most for size, most in PIECE_CUTS if shorter < size)
+        if most not in self.cut:
+            ends, last = _cuts(self.text, most)
+            at = ends.tolist()
+            self.cut[most] = [self.text[a:b] for a, b in zip([0, *at], at)], [0, *(np.flatnonzero(last) + 1).tolist()]  # noqa: B905
+        return self.cut[most]
 
-def _cuts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+
+def _cuts(text: bytes, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Ends of pieces, and which of them end paragraphs."""
     n = len(text)
     data = np.frombuffer(text, dtype=np.uint8)
@@ -74,7 +88,7 @@ def _cuts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     before = np.lib.stride_tricks.sliding_window_view(padded, 4)[space].astype(np.uint32)  # the four bytes before
     mixed = (before @ np.array([1, 1 << 8, 1 << 16, 1 << 24], dtype=np.uint32)) * np.uint32(0x9E3779B1)
     line = data[space] == 10
-    cut = line | (mixed <= next(most for size, most in PIECE_CUTS if n < size))
+    cut = line | (mixed <= most)
     order = np.arange(len(space))
     since = order - np.maximum.accumulate(np.where(cut, order, -1)) if len(space) else order
     ends = space[cut | ((since > 0) & (since % MOST_WORDS == 0))] + 1
@@ -88,15 +102,11 @@ def _cuts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def build(text: bytes) -> Tree:
-    ends, last = _cuts(text)
-    at = ends.tolist()
-    pieces = [_digest(text[a:b]) for a, b in zip([0, *at], at)]  # noqa: B905
-    piece_sizes = np.diff(ends, prepend=0)
-    para_ends = (np.flatnonzero(last) + 1).tolist()
-    para_first = [0, *para_ends]
-    paragraphs = [_digest(b"".join(pieces[a:b])) for a, b in zip(para_first, para_ends)]  # noqa: B905
-    before = [0, *np.cumsum(piece_sizes)[np.flatnonzero(last)].tolist()]
-    sizes = [b - a for a, b in zip(before, before[1:])]  # noqa: B905
+    lines = [x + b"\n" for x in text.split(b"\n")]
+    lines[-1] = lines[-1][:-1]
+    if not lines[-1]:
+        del lines[-1]
+    paragraphs, sizes = [_digest(x) for x in lines], [len(x) for x in lines]
     section_first, sections, section_sizes = [0], [], []
     for k, (digest, size) in enumerate(zip(paragraphs, sizes, strict=True)):
         if size == 1 or digest[0] % SECTION_CUT == 0 or k == len(paragraphs) - 1:
@@ -104,7 +114,7 @@ def build(text: bytes) -> Tree:
             sections.append(_digest(b"".join(paragraphs[a : k + 1])))
             section_sizes.append(sum(sizes[a : k + 1]))
             section_first.append(k + 1)
-    return Tree(_digest(b"root" + b"".join(sections)), sections, section_sizes, section_first, paragraphs, sizes, para_first, pieces, piece_sizes.tolist())
+    return Tree(text, _digest(b"root" + b"".join(sections)), sections, section_sizes, section_first, paragraphs, sizes)
 
 
 def _unmatched(mine: list[tuple[bytes, int, int]], other: list[tuple[bytes, int, int]]) -> tuple[int, list[int], list[int]]:
@@ -138,9 +148,11 @@ def likeness(a: Tree, b: Tree) -> float:
     below = lambda t, nodes: [(t.paragraphs[k], t.paragraph_sizes[k], k) for s in nodes for k in range(t.section_first[s], t.section_first[s + 1])]
     more, x, y = _unmatched(below(a, x), below(b, y))
     shared += more
-    below = lambda t, nodes: [(t.pieces[k], t.piece_sizes[k], k) for s in nodes for k in range(t.paragraph_first[s], t.paragraph_first[s + 1])]
-    more, _, _ = _unmatched(below(a, x), below(b, y))
-    shared += more
+    if x and y:
+        shorter = min(a.size, b.size)
+        below = lambda cut, nodes: [(p, len(p), 0) for s in nodes for p in cut[0][cut[1][s] : cut[1][s + 1]]]
+        more, _, _ = _unmatched(below(a.pieces(shorter), x), below(b.pieces(shorter), y))
+        shared += more
     return min(2.0 * shared / total, 1.0 - 2.0**-40)
 
 
@@ -149,13 +161,15 @@ def edited_range(a: Tree, b: Tree) -> tuple[int, int]:
     if a.root == b.root:
         return 0, 0
     head = tail = k = 0
-    n = min(len(a.pieces), len(b.pieces))
-    while k < n and a.pieces[k] == b.pieces[k]:
-        head += a.piece_sizes[k]
+    shorter = min(a.size, b.size)
+    mine, theirs = a.pieces(shorter)[0], b.pieces(shorter)[0]
+    n = min(len(mine), len(theirs))
+    while k < n and mine[k] == theirs[k]:
+        head += len(mine[k])
         k += 1
     j = 1
-    while j <= n - k and a.pieces[-j] == b.pieces[-j]:
-        tail += a.piece_sizes[-j]
+    while j <= n - k and mine[-j] == theirs[-j]:
+        tail += len(mine[-j])
         j += 1
     return head, a.size - tail
 

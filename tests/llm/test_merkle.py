@@ -58,3 +58,16 @@ def test_likeness_and_place_of_an_edit():
     assert start <= 2000 <= end and end - start < 400
     assert merkle.likeness(x, merkle.build(prose(random.Random(9), 3).encode() + b"zzz")) < 0.1
     assert merkle.likeness(merkle.build(b""), merkle.build(b"")) == 1.0 and merkle.likeness(x, merkle.build(b"")) == 0.0
+
+
+def test_texts_on_either_side_of_a_length_limit():
+    rng = random.Random(5)
+    for limit, words in ((512, 60), (4096, 600)):
+        for line in (b" ", b"\n"):
+            a = b"".join(b"w%d" % rng.randrange(10**6) + (line if k % 9 == 8 else b" ") for k in range(words * 2))[: limit - 6]
+            b = a + b" " + b"tail" * 5
+            assert len(a) < limit < len(b)
+            x, y = merkle.build(a), merkle.build(b)
+            assert merkle.likeness(x, y) == merkle.likeness(y, x) > 0.9
+            assert merkle.edited_range(x, y)[0] > limit - 100
+            assert x.paragraphs[:-1] == y.paragraphs[: len(x.paragraphs) - 1]
