@@ -2,7 +2,7 @@
 
 A text is cut, losing no byte, into sections (blank lines, and lines whose hash says so), sections into
 paragraphs (lines), paragraphs into pieces of some words at content-defined places, so that an edit moves
-no cut far from it. A paragraph's digest is the hash of its bytes, that of a node above the hash of its
+no cut far from it. Long stretches without spaces are cut by a rolling hash, and no piece is over `MOST_BYTES`. A paragraph's digest is the hash of its bytes, that of a node above the hash of its
 children's; the root tells whether texts are equal, and only differing branches are descended to locate an
 edit or to measure likeness. Digests do not depend on the text's length. How fine the pieces are is chosen
 for each pair of texts, by the shorter one, so that both are cut alike.
@@ -37,6 +37,8 @@ MOST_RANGES = 10_000
 #: Which word ends also end a piece, by the length of the shorter of two texts.
 PIECE_CUTS = ((512, 0xFFFF_FFFF), (4096, 0x7FFF_FFFF), (1 << 62, 0x3FFF_FFFF))
 MOST_WORDS = 16  # and so does every 16th without such an end
+WORD_BYTES = 16  # a longer stretch without spaces is cut by content too: at one code point in eight, 16 or 32
+MOST_BYTES = 256  # and so is a piece that is longer
 SECTION_CUT = 8  # one line in eight ends a section
 
 
@@ -84,14 +86,27 @@ def _cuts(text: bytes, most: int) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(text, dtype=np.uint8)
     padded = np.zeros(n + 4, dtype=np.uint8)
     padded[4:] = data
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 4)
+
+    def mixed(at: np.ndarray) -> np.ndarray:  # of the four bytes before
+        return (windows[at].astype(np.uint32) @ np.array([1, 1 << 8, 1 << 16, 1 << 24], dtype=np.uint32)) * np.uint32(0x9E3779B1)
+
     space = np.flatnonzero((data == 32) | (data == 10))
-    before = np.lib.stride_tricks.sliding_window_view(padded, 4)[space].astype(np.uint32)  # the four bytes before
-    mixed = (before @ np.array([1, 1 << 8, 1 << 16, 1 << 24], dtype=np.uint32)) * np.uint32(0x9E3779B1)
-    line = data[space] == 10
-    cut = line | (mixed <= most)
+    cut = (data[space] == 10) | (mixed(space) <= most)
     order = np.arange(len(space))
     since = order - np.maximum.accumulate(np.where(cut, order, -1)) if len(space) else order
     ends = space[cut | ((since > 0) & (since % MOST_WORDS == 0))] + 1
+    # Stretches without spaces: cut where the bytes say so, between code points.
+    edges = np.concatenate([[-1], space, [n]])
+    inside = np.concatenate([np.zeros(0, dtype=np.int64), *[np.arange(edges[k] + 1 + WORD_BYTES, edges[k + 1]) for k in np.flatnonzero(np.diff(edges) > WORD_BYTES + 1).tolist()]])
+    inside = inside[(data[inside] & 0xC0) != 0x80]
+    inside = inside[mixed(inside) <= most >> 3]
+    if len(inside):
+        ends = np.union1d(ends, inside)
+    gaps = np.diff(ends, prepend=0, append=n)
+    if n and int(gaps.max()) > MOST_BYTES:
+        starts = np.concatenate([[0], ends])
+        ends = np.union1d(ends, np.concatenate([np.arange(starts[k] + MOST_BYTES, starts[k] + gaps[k], MOST_BYTES) for k in np.flatnonzero(gaps > MOST_BYTES).tolist()]))
     if not n:
         return ends, ends == -1
     if not len(ends) or ends[-1] != n:

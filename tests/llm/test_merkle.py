@@ -71,3 +71,18 @@ def test_texts_on_either_side_of_a_length_limit():
             assert merkle.likeness(x, y) == merkle.likeness(y, x) > 0.9
             assert merkle.edited_range(x, y)[0] > limit - 100
             assert x.paragraphs[:-1] == y.paragraphs[: len(x.paragraphs) - 1]
+
+
+def test_texts_without_spaces():
+    rng = random.Random(6)
+    kinds = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(900)), "".join(rng.choice("abcdefABCDEF0123456789+/") for _ in range(3000)), "\t".join(str(rng.randrange(10**6)) for _ in range(400)), "\r".join(str(rng.randrange(10**6)) for _ in range(400)), "x" * 3000]
+    for text in kinds:
+        half = len(text) // 2
+        a, b = merkle.build(text.encode()), merkle.build((text[:half] + "EDIT" + text[half:]).encode())
+        assert 0.8 < merkle.likeness(a, b) < 1
+        start, end = merkle.edited_range(a, b)
+        at = len(text[:half].encode())
+        assert start <= at <= end and (end - start < 600 or text[:9] == "x" * 9)  # a run of one byte has no place to cut by
+        assert max(a.piece_sizes) <= 256 and sum(a.piece_sizes) == a.size
+        c = merkle.build((text[: len(text) - half] + "other words " * 200)[: len(text)].encode())
+        assert 0.3 < merkle.likeness(a, c) < 0.8
