@@ -7,7 +7,8 @@ and best-fits the displaced pieces. Islands evolve the same shard apart and send
 between epochs (a join on (shard, island)).
 
 Scale: pieces are dealt into shards of about `shard_items` by a hash of a unique row number, so neither a
-repeated document nor a hot source can fill one; each shard is one row of bounded arrays. A shard whose
+repeated document nor a hot source can fill one; each shard is one row of bounded arrays. Shards of small
+pieces hold more of them, `LEAST_BINS` bins' worth on average, so each level passes on a small part only. A shard whose
 packing already meets the lower bound ends there. The least filled bin of each shard re-enters a further
 level, until one shard is left, so at most about one bin in a shard is not tight.
 
@@ -33,6 +34,7 @@ from lettermill.session import materialize, shuffle_width
 CAPACITY = 4096
 END_ID = 1
 SHARD_ITEMS = 2048
+LEAST_BINS = 8
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 6
@@ -231,8 +233,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_I
     done: list[DataFrame] = []
     level = 0
     while True:
-        n = rest.count()
-        shards = max(1, -(-n // shard_items))
+        n, total = rest.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        shards = max(1, min(-(-n // shard_items), total // (LEAST_BINS * capacity)))
         fields = [F.col(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32", "uid")]
         state = (
             rest.groupBy(F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(shards)).alias("shard"))

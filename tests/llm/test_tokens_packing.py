@@ -68,6 +68,13 @@ def test_levels_and_islands(stored, monkeypatch):
     assert check(rows, 100) <= 1.06 * sum(lengths) / 100 + 2
 
 
+def test_shards_of_very_small_pieces(stored):
+    for n, length in ((150, 1), (4000, 1), (700, 2)):
+        rows = pack(stored([(k, 0, 0, length, k) for k in range(n)], packing.PIECE_SCHEMA), capacity=100, shard_items=60).collect()
+        assert sorted(r["doc_id"] for r in rows) == list(range(n))
+        assert check(rows, 100) == -(-n * length // 100)
+
+
 def test_genetic_steps_keep_every_item_once():
     rng = random.Random(4)
     for _ in range(30):
