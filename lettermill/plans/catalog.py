@@ -233,6 +233,13 @@ def j5_diff_against(spark, d):
     return docs.join(table(spark, d, "benchmark").filter("item_id % 2 = 0").select(digest), "mid", "left_anti").select("doc_id")
 
 
+@query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE d.text = b.text)")
+def j5_all_diff_against(spark, d):
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("mid")
+    docs = table(spark, d, "documents").select("doc_id", digest)
+    return docs.join(table(spark, d, "benchmark").select(digest), "mid", "left_anti").select("doc_id")
+
+
 @query("""WITH a AS (SELECT sha256(text) AS mid, doc_id AS seq FROM documents WHERE doc_id % 2 = 1), k AS (SELECT sha256(text) AS mid FROM documents WHERE doc_id % 2 = 0)
 SELECT mid, min(seq) AS seq FROM a WHERE mid NOT IN (SELECT mid FROM k) GROUP BY mid""")
 def j6_ingest_precheck(spark, d):
@@ -255,8 +262,16 @@ def j16_prefix_pairs(spark, d):
 w AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS seen FROM w UNION SELECT r.node, w.b FROM r JOIN w ON r.seen = w.a)
 SELECT node, min(seen) AS component FROM r GROUP BY node""")
 def g2_components(spark, d):
-    edges = table(spark, d, "lineitem").filter("l_quantity <= 3").select((2 * F.col("l_orderkey")).alias("src"), (2 * F.col("l_partkey") + 1).alias("dst"))
-    return connected_components(edges)
+    return connected_components(_order_parts(table(spark, d, "lineitem").filter("l_quantity <= 3")))
+
+
+def _order_parts(lines: DataFrame) -> DataFrame:
+    return lines.select((2 * F.col("l_orderkey")).alias("src"), (2 * F.col("l_partkey") + 1).alias("dst"))
+
+
+@query(None)  # g2_components on the whole graph, whose largest component is too large for recursive SQL
+def g2_all_components(spark, d):
+    return connected_components(_order_parts(table(spark, d, "lineitem")))
 
 
 @query("""WITH m AS (SELECT conv_id || '.' || turn AS mid, CASE WHEN turn > 0 AND turn <> 3 THEN conv_id || '.' || (turn - 1) END AS irt, conv_id, turn FROM conversations),

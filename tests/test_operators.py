@@ -50,6 +50,30 @@ def test_components_against_union_find(spark, rows):
         assert got == {x: min(y for y in range(n) if find(y) == find(x)) for x in touched}
 
 
+def test_whole_tables_are_compared(spark, tmp_path):
+    from lettermill.plans import catalog
+
+    rng = random.Random(6)
+    lines = [(rng.randrange(300), 0 if rng.random() < 0.3 else rng.randrange(400), rng.randrange(1, 51)) for _ in range(900)] + [(1000 + k, 1000 + k // 2, 40) for k in range(20)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for order, part, _ in lines:
+        a, b = find(2 * order), find(2 * part + 1)
+        parent[max(a, b)] = min(a, b)
+    got = {r["node"]: r["component"] for r in catalog.queries()["g2_all_components"](spark, str(tmp_path)).collect()}
+    assert got == {x: find(x) for x in list(parent)} and max(map(list(got.values()).count, set(got.values()))) > 400
+    spark.createDataFrame([(k, f"text {k % 7}", f"src{k % 3}") for k in range(30)] + [(99, None, "src0")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "text 1"), (2, "text 2")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = sorted(r["doc_id"] for r in catalog.queries()["j5_all_diff_against"](spark, str(tmp_path)).collect())
+    assert left == [k for k in range(30) if k % 7 not in (1, 2)] + [99]
+
+
 def test_hot_keys_join_like_others(rows, monkeypatch):
     monkeypatch.setattr(skew, "HOT_ROWS", 20)
     left = rows([(k % 7 if k % 3 else 0, k) for k in range(300)], "k long, v long")
