@@ -3,11 +3,12 @@
 Unit vectors are projected by a Gaussian (2-stable) matrix to `DIMS` numbers, in which squared distances are
 the true ones times a chi-square variable. The projections are indexed by a kd-tree: its upper levels, fitted
 on a bounded sample, deal all vectors into cells; each cell's own tree ends in leaves. A query takes leaves in
-the order of projected distance r and verifies them on the original vectors. It stops once a point as near
-as its k-th best so far would have been projected within r with probability `SURE` or more.
+the order of projected distance and verifies, on the original vectors, only points whose own projected
+distance r passes the test: a point as near as the query's k-th best so far would have been projected within
+r with a probability under `SURE`. It stops at the first leaf that fails the test as a whole.
 
 A query searches its own cell first; its k-th distance there rules out other cells by the same test, and the
-rest are searched too. Queries meet a cell in blocks.
+rest are searched too. Queries meet a cell in blocks. `verified` counts the rows whose original vectors a query read.
 
 Scale: equal vectors are one class of which only the k + 1 least vec_ids can ever be among the nearest, so a
 common vector costs k + 1 rows. A cell is held in parts of `PART_ROWS` at most. Every row is indexed; only
@@ -16,7 +17,8 @@ the places of the cells' borders come from a sample (`SAMPLE_ROWS`).
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and rows with a
 null vec_id, take no part; vectors of another length than the query's are no candidates; rows with the
 query's vec_id are its own; repeated rows count once; no candidates give no rows; an empty table gives no
-rows; extra columns are ignored.
+rows; extra columns are ignored. Vectors are scaled by powers of two first, which changes no cosine, so the
+squares of very large and very small numbers neither overflow nor vanish.
 """
 
 from __future__ import annotations
@@ -31,20 +33,20 @@ from pyspark.sql import functions as F
 from lettermill.session import materialize
 
 NEAREST = 5
-DIMS = 8
-SURE = 0.99
+DIMS = 32
+SURE = 0.9
 SAMPLE_ROWS = 20_000
 PART_ROWS = 16_384
 MOST_CELLS = 4096
-QUERY_BLOCK = 4096
-LEAF = 64
+QUERY_BLOCK = 16_384
+LEAF = 128
 ROUNDS = 12
 EPS = 1e-9
 
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_id long, vec_id long, score double, verified long"
 
 
-def within(x: np.ndarray) -> np.ndarray:
+def within(x):
     """Chi-square distribution function with DIMS (even) degrees of freedom."""
     half = np.asarray(x, dtype=np.float64) / 2.0
     term = total = np.exp(-np.minimum(half, 700.0))
@@ -54,9 +56,21 @@ def within(x: np.ndarray) -> np.ndarray:
     return 1.0 - total
 
 
-def stops(reach: np.ndarray, kth: np.ndarray) -> np.ndarray:
-    """Whether points as near as cosine kth would be within squared projected distance reach."""
-    return within(reach / np.maximum(2.0 - 2.0 * kth, 1e-12)) >= SURE
+def _quantile(share: float) -> float:
+    """The chi-square value that `share` of the distribution is below."""
+    low, high = 0.0, 100.0 * DIMS
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if within(middle) < share else (low, middle)
+    return high
+
+
+STOP = _quantile(SURE)
+
+
+def reach_of(kth: np.ndarray) -> np.ndarray:
+    """Squared projected distance within which points as near as cosine kth are projected with probability SURE."""
+    return STOP * np.maximum(2.0 - 2.0 * kth, 1e-12)
 
 
 def projection(width: int) -> np.ndarray:
@@ -68,11 +82,14 @@ def project(vectors: np.ndarray) -> np.ndarray:
 
 
 def matrix(column: pa.ListArray | pa.ChunkedArray) -> np.ndarray:
-    """Lists of one length as a matrix of doubles."""
+    """Lists of one length as a matrix of doubles, each row scaled by a power of two to below 1."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.zeros((0, 1))
+    if not n:
+        return np.zeros((0, 1))
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    return np.ldexp(values, -np.frexp(np.abs(values).max(axis=1))[1][:, None])
 
 
 def kd_split(points: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -129,48 +146,61 @@ def box_distance(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
     return total
 
 
-def search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, kth: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """Nearest of one part for some queries; kth: the k-th best cosine known so far (-inf: none)."""
+def search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, kth: np.ndarray, k: int) -> list[tuple]:
+    """FOUND rows of one part for some queries; kth: the k-th best cosine known so far (-inf: none)."""
     points = project(vectors)
     leaves = kd_split(points, max(1, len(points) // LEAF))
-    low = np.array([points[x].min(axis=0) for x in leaves])
-    high = np.array([points[x].max(axis=0) for x in leaves])
+    order = np.concatenate(leaves)
+    points, vectors, ids = points[order], vectors[order], ids[order]  # a leaf is a slice
+    starts = np.cumsum([0, *map(len, leaves)])
+    low, high = np.minimum.reduceat(points, starts[:-1]), np.maximum.reduceat(points, starts[:-1])
+    square = (points * points).sum(axis=1)
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     unit = vectors / norms[:, None]
-    out: list[tuple[int, int, float]] = []
+    out: list[tuple] = []
     for at in range(0, len(queries), 256):
-        q, qid, best = queries[at : at + 256], query_ids[at : at + 256], kth[at : at + 256].copy()
+        q, qid = queries[at : at + 256], query_ids[at : at + 256]
         q_norm = np.sqrt((q * q).sum(axis=1))
-        q_unit = q / q_norm[:, None]
-        reach = box_distance(project(q), low, high)
-        order = np.argsort(reach, axis=1)
-        sorted_reach = np.take_along_axis(reach, order, axis=1)
+        q_unit, p = q / q_norm[:, None], project(q)
+        p_square = (p * p).sum(axis=1)
+        boxes = box_distance(p, low, high)
+        turns = np.argsort(boxes, axis=1)
         score = np.full((len(q), len(vectors)), -np.inf)
-        top = np.repeat(best[:, None], k, axis=1)  # k values that are known to be reached
-        active = np.arange(len(q))
-        step = max(1, -(-len(leaves) // ROUNDS))
-        for begin in range(0, len(leaves), step):
-            active = active[~stops(sorted_reach[active, begin], top[active].min(axis=1))]
+        top = np.repeat(kth[at : at + 256, None], k, axis=1)  # k values that are known to be reached
+        reach, verified = reach_of(top.min(axis=1)), np.zeros(len(q), dtype=np.int64)
+        active, begin, step = np.arange(len(q)), 0, 1
+        while begin < len(leaves):
+            active = active[boxes[active, turns[active, begin]] <= reach[active]]
             if not len(active):
                 break
-            turn = order[active, begin : begin + step]
+            turn = turns[active, begin : begin + step]
             rows, which = np.repeat(active, turn.shape[1]), turn.ravel()
             by_leaf = np.argsort(which, kind="stable")
             cuts = np.searchsorted(which[by_leaf], np.arange(len(leaves) + 1))
-            for leaf in np.unique(which):
-                r = rows[by_leaf[cuts[leaf] : cuts[leaf + 1]]]
-                got = q_unit[r] @ unit[leaves[leaf]].T
-                got[ids[leaves[leaf]][None, :] == qid[r][:, None]] = -np.inf
-                score[r[:, None], leaves[leaf][None, :]] = got
-                both = np.concatenate([top[r], got], axis=1)
+            for leaf in np.unique(which).tolist():
+                r, own = rows[by_leaf[cuts[leaf] : cuts[leaf + 1]]], slice(starts[leaf], starts[leaf + 1])
+                projected = p_square[r][:, None] + square[own] - 2.0 * (p[r] @ points[own].T)
+                i, j = np.nonzero((projected <= reach[r][:, None]) & (ids[own][None, :] != qid[r][:, None]))
+                if not len(i):
+                    continue
+                cosine = np.einsum("ij,ij->i", q_unit[r[i]], unit[own][j])
+                verified[r] += np.bincount(i, minlength=len(r))
+                score[r[i], j + starts[leaf]] = cosine
+                both = np.full((len(r), projected.shape[1] + k), -np.inf)
+                both[:, projected.shape[1] :] = top[r]
+                both[i, j] = cosine
                 top[r] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            reach = reach_of(top.min(axis=1))
+            begin += step
+            step = max(1, -(-len(leaves) // ROUNDS))
         floor = top.min(axis=1) - EPS
         for j in range(len(q)):
             near = np.flatnonzero((score[j] >= floor[j]) & (score[j] > -np.inf))
             if len(near):
                 exact = (vectors[near] * q[j]).sum(axis=1) / (norms[near] * q_norm[j])
                 first = np.lexsort((ids[near], -exact))[:k]
-                out += zip([int(qid[j])] * len(first), ids[near][first].tolist(), exact[first].tolist(), strict=True)
+                out += zip([int(qid[j])] * len(first), ids[near][first].tolist(), exact[first].tolist(), [None] * len(first), strict=True)
+        out += [(int(a), None, None, int(n)) for a, n in zip(qid, verified, strict=True)]
     return out
 
 
@@ -183,7 +213,7 @@ def usable(embeddings: DataFrame) -> DataFrame:
 
 
 def nearest(embeddings: DataFrame, every: int = 50, k: int = NEAREST) -> DataFrame:
-    """The operator: query_id, rank, vec_id, score for the rows whose vec_id is divisible by `every`."""
+    """The operator: query_id, rank, vec_id, score, verified for the rows whose vec_id is divisible by `every`."""
     rows = usable(embeddings)
     same = Window.partitionBy("embedding").orderBy("vec_id")
     distinct = rows.dropDuplicates(["vec_id", "embedding"])
@@ -194,10 +224,12 @@ def nearest(embeddings: DataFrame, every: int = 50, k: int = NEAREST) -> DataFra
         found = _nearest(index.filter(F.col("width") == width), queries.filter(F.col("width") == width), n, k)
         out = found if out is None else out.unionByName(found)
     if out is None:
-        return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double, verified long")
+    out = materialize(out, "found")
+    verified = out.filter("vec_id is null").groupBy("query_id").agg(F.sum("verified").alias("verified"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = out.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    ranked = out.filter("vec_id is not null").drop("verified").dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.join(verified, "query_id").select("query_id", "rank", "vec_id", "score", "verified")
 
 
 def _nearest(index: DataFrame, queries: DataFrame, n: int, k: int) -> DataFrame:
@@ -218,8 +250,9 @@ def _nearest(index: DataFrame, queries: DataFrame, n: int, k: int) -> DataFrame:
     boxes = dealt.groupBy("cell").agg(F.count("*").alias("n"), *[F.min(f"p{j}").alias(f"lo{j}") for j in range(DIMS)], *[F.max(f"p{j}").alias(f"hi{j}") for j in range(DIMS)]).orderBy("cell").collect()  # MOST_CELLS rows
     cells = np.array([b["cell"] for b in boxes])
     low, high = (np.array([[b[f"{end}{j}"] for j in range(DIMS)] for b in boxes]) for end in ("lo", "hi"))
-    count = F.lit(max(-(-b["n"] // PART_ROWS) for b in boxes))  # parts of a cell, for the largest
-    stored = dealt.select("vec_id", "embedding", "cell", F.pmod(F.xxhash64("vec_id"), count).alias("part"))
+    spark = index.sparkSession
+    parts = F.broadcast(spark.createDataFrame([(int(b["cell"]), -(-b["n"] // PART_ROWS)) for b in boxes], "cell long, parts long"))  # MOST_CELLS rows
+    stored = dealt.select("vec_id", "embedding", "cell").join(parts, "cell").select("vec_id", "embedding", "cell", F.pmod(F.xxhash64("vec_id"), "parts").alias("part"))
     asked = queries.select("vec_id", "embedding").mapInArrow(deal, schema).select(F.col("vec_id").alias("query_id"), "embedding", F.col("cell").alias("home"))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
 
@@ -227,21 +260,22 @@ def _nearest(index: DataFrame, queries: DataFrame, n: int, k: int) -> DataFrame:
         got: list = []
         if left.num_rows and right.num_rows:
             got = search(matrix(left.column("embedding")), left.column("vec_id").to_numpy(), matrix(right.column("embedding")), right.column("query_id").to_numpy(), right.column("kth").to_numpy(), k)
-        cols = list(zip(*got, strict=True)) or [[]] * 3
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
+        cols = list(zip(*got, strict=True)) or [[]] * 4
+        types = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
+        return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=[x.split()[0] for x in FOUND.split(", ")])
 
     def visit(wanted: DataFrame) -> DataFrame:
         """wanted: query_id, embedding, kth, cell."""
         block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
         seats = wanted.withColumn("block", block)
-        spread = seats.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (count - 1).cast("long"))))
+        spread = seats.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
         keys = ["cell", "part", "block"]
         wanted_by = seats.select("cell", "block").distinct().toDF("_cell", "_block")
         met = stored.join(wanted_by, F.col("cell") == F.col("_cell")).select("vec_id", "embedding", "cell", "part", F.col("_block").alias("block"))
         return met.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(look, FOUND)
 
     home = materialize(visit(asked.select("query_id", "embedding", F.lit(float("-inf")).alias("kth"), F.col("home").alias("cell"))), "home")
-    kth = home.groupBy("query_id").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("score"), False).alias("best")).select("query_id", F.when(F.col("n") >= k, F.element_at("best", k)).alias("kth"))
+    kth = home.filter("vec_id is not null").groupBy("query_id").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("score"), False).alias("best")).select("query_id", F.when(F.col("n") >= k, F.element_at("best", k)).alias("kth"))
     bounded = asked.join(kth, "query_id", "left").select("query_id", "embedding", "home", F.coalesce("kth", F.lit(float("-inf"))).alias("kth"))
 
     def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +284,7 @@ def _nearest(index: DataFrame, queries: DataFrame, n: int, k: int) -> DataFrame:
                 continue
             kth = batch.column("kth").to_numpy()
             reach = box_distance(project(matrix(batch.column("embedding"))), low, high)
-            open_ = ~stops(reach, kth[:, None]) & (cells[None, :] != batch.column("home").to_numpy()[:, None])
+            open_ = (reach <= reach_of(kth)[:, None]) & (cells[None, :] != batch.column("home").to_numpy()[:, None])
             q, c = np.nonzero(open_)
             at = pa.array(q)
             yield pa.RecordBatch.from_arrays([batch.column("query_id").take(at), batch.column("embedding").take(at), batch.column("kth").take(at), pa.array(cells[c])], names=["query_id", "embedding", "kth", "cell"])

@@ -64,6 +64,21 @@ def test_ties_copies_and_vectors_that_take_no_part(stored):
     same(run(stored, [*vectors, (7, [1.0, 2.0]), (50, [1.0, 2.0])]), brute(vectors))
 
 
+def test_an_index_prunes(spark):
+    df = table(spark, "/root/testdata/sf0.1", "embeddings")
+    n = df.count()
+    rows = neighbours.nearest(df).groupBy("query_id").agg({"verified": "max"}).collect()
+    assert sum(r[1] for r in rows) < 0.5 * n * len(rows) and all(r[1] >= 5 for r in rows)
+
+
+def test_squares_that_overflow_or_vanish(spark, tmp_path):
+    vectors = [(0, [3e200, 4e200]), (1, [3e-200, 4e-200]), (2, [4.0, 3.0]), (3, [-1e300, 1e-300]), (50, [5e-324, 0.0])]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/v")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], round(r["score"], 9)) for r in neighbours.nearest(spark.read.parquet(f"{tmp_path}/v")).collect()}
+    assert [got[0, k] for k in range(1, 5)] == [(1, 1.0), (2, 0.96), (50, 0.6), (3, -0.6)]
+    assert [got[50, k][0] for k in range(1, 5)] == [2, 0, 1, 3]
+
+
 def test_few_and_none(stored):
     same(run(stored, [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.0])]), brute([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.0])]))
     assert run(stored, [(0, [1.0, 0.0])]) == {} and run(stored, []) == {}
