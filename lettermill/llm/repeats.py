@@ -7,18 +7,17 @@ keys, and neighbouring strings mostly share one, so a run of strings with one ke
 1. Each task writes its documents as a shard to the shared folder and sends the keys of its strings, each
    once, to the key's bucket; a bucket answers with the keys that more than one document has.
 2. For each shard, the fragments of such keys are cut, equal ones once with their least doc_id, and sent to
-   buckets by key. A bucket sorts the suffixes of its distinct fragments by induction (see `suffixes`; a
-   fragment that is alone with its key needs no sort), finds runs of suffixes that agree in `LENGTH` bytes,
-   and answers, string by string, with the least doc_id that has it.
+   buckets by key. A bucket sorts the suffixes of its distinct fragments by external induction (see `suffixes`;
+   a fragment that is alone with its key can match nothing and is not sorted). The common prefixes that come
+   with the suffixes part them into runs that agree in `LENGTH` bytes, and the bucket answers, string by
+   string, with the least doc_id that has it.
 3. For each shard, the strings that have a smaller doc_id cover the bytes to remove.
 
-Common-prefix values are not carried through the induction but compared afterwards, eight bytes at a time,
-as only "at least LENGTH" is asked for.
-
 Scale: no step compares documents; a passage in a third of all documents is one fragment for each shard.
-Buckets are as many as the size of the text asks for. Shards and tables of fragments have names and contents
-that depend on the input partition alone and are put in place by renaming, so repeated tasks are harmless.
-Queues of the sort that outgrow memory are temporary files of the task.
+Documents are streamed into shards of `SHARD_TEXT` bytes, however large the input's partitions are (a single
+larger document is a shard). Buckets are as many as the size of the text asks for. Shards and tables of
+fragments have names and contents that depend on the input partition alone and are put in place by renaming,
+so repeated tasks are harmless. The sort holds `MEMORY_BYTES` of tuples; its files are spills of the task.
 
 Defined results: null text is empty; texts under LENGTH bytes lose nothing; repeated rows (equal doc_id) do
 not make each other go; null doc_id counts as largest; an empty table gives no rows; extra columns are
@@ -38,13 +37,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.suffixes import suffix_order
+from lettermill.llm.suffixes import MEMORY_BYTES, suffixes
 from lettermill.session import make_folder, materialize, scratch, shuffle_width
 
 LENGTH = 50
 GRAM = 20
 STRETCH = 2 << 20
 BUCKET_TEXT = 16 << 20
+SHARD_TEXT = 64 << 20
+SHARD_BITS = 20  # of a shard's number that count within a partition
 NOBODY = (1 << 63) - 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -157,22 +158,41 @@ def _rows(cols: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols.values()], names=list(cols))
 
 
-KEYS = "bucket int, shard int, keys binary"
-FRAGMENTS = "bucket int, shard int, sizes binary, text binary, least binary"
-ANSWERS = "bucket int, shard int, at binary, least binary"
+KEYS = "bucket int, shard long, keys binary"
+FRAGMENTS = "bucket int, shard long, sizes binary, text binary, least binary"
+ANSWERS = "bucket int, shard long, at binary, least binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with SHARD_TEXT bytes of text or little more."""
+    if batch.num_rows > 1 and batch.nbytes > SHARD_TEXT:
+        half = batch.num_rows // 2
+        yield from _slices(batch.slice(0, half))
+        yield from _slices(batch.slice(half))
+    elif batch.num_rows:
+        yield batch
+
+
 def _send_keys(docs: DataFrame, folder: str, buckets: int) -> DataFrame:
     """Step 1, first half: write shards, send keys (their lowest bit: had by two documents of the shard)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
-            return
-        shard = TaskContext.get().partitionId()
-        table = pa.Table.from_batches(tables)
-        _put(folder, f"shard-{shard}", table)
+        held: list[pa.RecordBatch] = []
+        size = 0
+        shard = TaskContext.get().partitionId() << SHARD_BITS
+        for batch in batches:
+            for part in _slices(batch):
+                held.append(part)
+                size += part.nbytes
+                if size >= SHARD_TEXT:
+                    yield keys_of(shard, held)
+                    held, size, shard = [], 0, shard + 1
+        if held:
+            yield keys_of(shard, held)
+
+    def keys_of(shard: int, tables: list[pa.RecordBatch]) -> pa.RecordBatch:
+        _put(folder, f"shard-{shard}", pa.Table.from_batches(tables))
         found_keys, found_docs = [], []
         texts = (x.as_py() for b in tables for x in b.column("text"))
         for first, data, bounds in stretches(texts):
@@ -189,7 +209,7 @@ def _send_keys(docs: DataFrame, folder: str, buckets: int) -> DataFrame:
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         out = [(b, unique[order[cuts[b] : cuts[b + 1]]].tobytes()) for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        yield _rows({"bucket": ([-1, *[b for b, _ in out]], pa.int32()), "shard": ([shard] * (len(out) + 1), pa.int32()), "keys": ([b"", *[x for _, x in out]], pa.binary())})
+        return _rows({"bucket": ([-1, *[b for b, _ in out]], pa.int32()), "shard": ([shard] * (len(out) + 1), pa.int64()), "keys": ([b"", *[x for _, x in out]], pa.binary())})
 
     return docs.mapInArrow(run, KEYS)
 
@@ -212,7 +232,7 @@ def _answer_keys(table: pa.Table) -> pa.Table:
         if len(kept) or shard_only(table):
             out.append((shard, kept.tobytes()))
     bucket = table.column("bucket")[0].as_py()
-    return pa.table({"bucket": pa.array([bucket] * len(out), pa.int32()), "shard": pa.array([s for s, _ in out], pa.int32()), "keys": pa.array([k for _, k in out], pa.binary())})
+    return pa.table({"bucket": pa.array([bucket] * len(out), pa.int32()), "shard": pa.array([s for s, _ in out], pa.int64()), "keys": pa.array([k for _, k in out], pa.binary())})
 
 
 def shard_only(table: pa.Table) -> bool:
@@ -252,7 +272,7 @@ def _send_fragments(folder: str, buckets: int):
             bucket_list.append(bucket_of(fresh, buckets))
             table_of_runs.append((doc + first, start - bounds[doc], count, fragment))
         if not number:
-            return pa.table({c.split()[0]: pa.array([], t) for c, t in zip(FRAGMENTS.split(", "), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)})
+            return pa.table({c.split()[0]: pa.array([], t) for c, t in zip(FRAGMENTS.split(", "), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)})
         doc, start, count, fragment = (np.concatenate(x) for x in zip(*table_of_runs, strict=True))
         bucket = np.concatenate(bucket_list)
         least = np.full(len(number), NOBODY)
@@ -270,31 +290,48 @@ def _send_fragments(folder: str, buckets: int):
         offset = np.cumsum(sizes) - sizes
         _put(folder, f"runs-{shard}", pa.table({"doc": doc.astype(np.uint32), "start": start.astype(np.uint32), "count": count.astype(np.uint32), "answer": offset[place[fragment]]}))
         b, s, t, m = zip(*out, strict=True)
-        return pa.table({"bucket": pa.array(b, pa.int32()), "shard": pa.array([shard] * len(b), pa.int32()), "sizes": pa.array(s, pa.binary()), "text": pa.array(t, pa.binary()), "least": pa.array(m, pa.binary())})
+        return pa.table({"bucket": pa.array(b, pa.int32()), "shard": pa.array([shard] * len(b), pa.int64()), "sizes": pa.array(s, pa.binary()), "text": pa.array(t, pa.binary()), "least": pa.array(m, pa.binary())})
 
     return run
 
 
-def least_owners(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """For strings of `length` at `starts` of fragments (bytes plus 1, 0 between them): the least owner of an equal one."""
-    order = suffix_order(text, length)
-    place = np.full(len(text), -1, dtype=np.int64)
-    place[starts] = np.arange(len(starts))
-    sorted_strings = place[order]
-    sorted_strings = sorted_strings[sorted_strings >= 0]
-    at = starts[sorted_strings]
-    padded = np.concatenate([text - 1, np.zeros(8, dtype=text.dtype)]).astype(np.uint8)  # separators do not occur inside
-    word = np.lib.stride_tricks.sliding_window_view(padded, 8)[: len(text)]
-    word = np.ascontiguousarray(word).view("<u8").ravel()
-    same = np.ones(max(0, len(at) - 1), dtype=bool)
-    for k in [*range(0, length - 8, 8), length - 8]:
-        live = np.flatnonzero(same)
-        same[live] = word[at[live] + k] == word[at[live + 1] + k]
-    heads = np.flatnonzero(np.append(True, ~same)) if len(at) else np.empty(0, dtype=np.int64)
-    out = np.empty(len(starts), dtype=np.int64)
-    if len(at):
-        out[sorted_strings] = np.repeat(np.minimum.reduceat(owners[sorted_strings], heads), np.diff(np.append(heads, len(at))))
-    return out
+def least_owners(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int = LENGTH, memory: int = MEMORY_BYTES) -> np.ndarray:
+    """For strings of `length` at `starts` of fragments in a text: the least owner of an equal one."""
+    number = np.zeros(len(text), dtype=np.uint32)
+    number[starts] = np.arange(1, len(starts) + 1)
+    group_of = np.zeros(len(starts), dtype=np.uint32)
+    group, least = -1, 0  # the common prefix is the least since the last string
+
+    def part(at: np.ndarray, common: np.ndarray) -> None:
+        nonlocal group, least
+        string = number[at]
+        own = np.flatnonzero(string)
+        if not len(own):
+            least = min(least, int(common.min()))
+            return
+        mins = np.minimum.reduceat(common[: own[-1] + 1], np.append(0, own[:-1] + 1))
+        mins[0] = min(int(mins[0]), least)
+        least = int(common[own[-1] + 1 :].min(initial=length))
+        turn = np.cumsum(mins < length) + group
+        group = int(turn[-1])
+        group_of[string[own] - 1] = turn
+
+    suffixes(text, length, part, memory)
+    best = np.full(group + 1, NOBODY)
+    np.minimum.at(best, group_of, owners)
+    return best[group_of]
+
+
+def joined(texts: list[bytes]) -> np.ndarray:
+    """Texts with a symbol between them that none has: a byte, or else 256."""
+    seen = np.zeros(256, dtype=bool)
+    for at in range(0, len(texts), 4096):
+        seen[np.frombuffer(b"".join(texts[at : at + 4096]), dtype=np.uint8)] = True
+    if not seen.all():
+        return np.frombuffer(bytes([int(np.argmin(seen))]).join(texts), dtype=np.uint8)
+    wide = np.frombuffer(b"\0".join(texts), dtype=np.uint8).astype(np.uint16)
+    wide[np.cumsum([len(x) + 1 for x in texts])[:-1] - 1] = 256
+    return wide
 
 
 def rivals(texts: list[bytes]) -> np.ndarray:
@@ -330,12 +367,10 @@ def _answer_fragments(table: pa.Table) -> pa.Table:
     if len(rival):
         size = lengths[rival]
         begins = np.cumsum(size + 1) - size - 1
-        shifted = np.frombuffer(b"\0".join([texts[k] for k in rival.tolist()]), dtype=np.uint8).astype(np.int16) + 1
-        shifted[begins[1:] - 1] = 0  # separators are below every byte
         own = counts[rival]
         turn = np.cumsum(own) - own
         each = np.arange(own.sum())
-        found = least_owners(shifted, np.repeat(begins - turn, own) + each, np.repeat(owner[rival], own))
+        found = least_owners(joined([texts[k] for k in rival.tolist()]), np.repeat(begins - turn, own) + each, np.repeat(owner[rival], own))
         least[np.repeat(offset[rival] - turn, own) + each] = found
     out = []
     for ids, own_lengths, _ in parts:
@@ -403,11 +438,12 @@ def remove_repeats(docs: DataFrame, bucket_text: int = BUCKET_TEXT) -> DataFrame
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("key"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_text))
+    seat = F.pmod(F.shiftright("shard", SHARD_BITS) + F.col("shard").bitwiseAND((1 << SHARD_BITS) - 1) * 7919, F.lit(max(shuffle_width(spark), buckets))).cast("int")
     sent = _send_keys(rows, folder, buckets)
     width = max(shuffle_width(spark), buckets)  # each bucket has a partition of its own
     wanted = materialize(sent.repartitionById(width, "bucket").groupBy("bucket").applyInArrow(_answer_keys, KEYS), "keys")
-    fragments = wanted.repartitionById(width, "shard").groupBy("shard").applyInArrow(_send_fragments(folder, buckets), FRAGMENTS)
+    fragments = wanted.repartitionById(width, seat).groupBy("shard").applyInArrow(_send_fragments(folder, buckets), FRAGMENTS)
     answers = materialize(fragments.repartitionById(width, "bucket").groupBy("bucket").applyInArrow(_answer_fragments, ANSWERS), "answers")
     nothing = F.lit(None).cast("binary")
     every = answers.unionByName(wanted.filter("bucket < 0").select("bucket", "shard", nothing.alias("at"), nothing.alias("least")))
-    return every.repartitionById(width, "shard").groupBy("shard").applyInArrow(_remove(folder), OUT)
+    return every.repartitionById(width, seat).groupBy("shard").applyInArrow(_remove(folder), OUT)

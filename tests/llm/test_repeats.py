@@ -6,7 +6,7 @@ import random
 import numpy as np
 
 from lettermill.llm import repeats
-from lettermill.llm.suffixes import suffix_order
+from lettermill.llm import suffixes as sorting
 
 
 def brute(docs, length=50):
@@ -56,13 +56,67 @@ def test_empty_table(docs_of):
     assert run(docs_of, []) == []
 
 
-def test_suffix_order_spills():
+def order_of(text, depth, memory):
+    at, common = [], []
+    sorting.suffixes(text, depth, lambda a, c: (at.extend(a.tolist()), common.extend(c.tolist())), memory)
+    return at, common
+
+
+def test_suffixes_and_common_prefixes_with_memory_below_the_text(monkeypatch):
     rng = np.random.default_rng(1)
-    for _ in range(150):
-        text = rng.integers(0, int(rng.integers(1, 5)), int(rng.integers(1, 70)))
-        for memory in (1 << 20, 32):
-            expected = sorted(range(len(text)), key=lambda i: text[i:].tolist())
-            assert suffix_order(text, 100, symbols=6, memory=memory).tolist() == expected
+    whole = sorting.BLOCK
+    for _ in range(400):
+        monkeypatch.setattr(sorting, "BLOCK", int(rng.choice([1, 3, 7, whole])))
+        n, depth = int(rng.integers(1, 80)), int(rng.choice([1, 2, 5, 10, 100]))
+        text = [rng.integers(0, int(rng.integers(1, 5)), n), np.tile(rng.integers(0, 4, rng.integers(1, 6)), 40)[:n], np.repeat(rng.integers(0, 4, n), rng.integers(1, 30, n))[:120]][int(rng.integers(3))].astype(rng.choice([np.uint8, np.uint16]))
+        t = text.tolist()
+        for memory in (64, 600, 1 << 20):
+            at, common = order_of(text, depth, memory)
+            assert sorted(at) == list(range(len(t)))
+            for k in range(1, len(at)):
+                x, y = t[at[k - 1] : at[k - 1] + depth], t[at[k] : at[k] + depth]
+                same = next((j for j, (a, b) in enumerate(zip(x, y, strict=False)) if a != b), min(len(x), len(y)))
+                assert x >= y and common[k] == same
+
+
+def test_memory_stays_flat_as_the_text_grows(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(sorting, "BLOCK", 4096)
+    rng = np.random.default_rng(5)
+    peaks = []
+    for n in (300_000, 1_200_000):
+        text = rng.integers(97, 105, n).astype(np.uint8)
+        text[n // 2 : n // 2 + 5000] = text[:5000]
+        tracemalloc.start()
+        sorting.suffixes(text, 50, lambda a, c: None, 1 << 20)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0]
+
+
+def test_least_owners_with_every_byte_in_use():
+    rng = random.Random(3)
+    texts = [bytes(range(256)) * 2, *[bytes(rng.randrange(2) for _ in range(rng.randrange(50, 90))) for _ in range(30)]]
+    texts += [t[:60] for t in texts]
+    starts, owners, at = [], [], 0
+    least = {}
+    for k, t in enumerate(texts):
+        for j in range(len(t) - 49):
+            starts.append(at + j)
+            owners.append(1000 - k)
+            least[t[j : j + 50]] = min(least.get(t[j : j + 50], 10**6), 1000 - k)
+        at += len(t) + 1
+    got = repeats.least_owners(repeats.joined(texts), np.array(starts), np.array(owners))
+    assert got.tolist() == [least[t[j : j + 50]] for t in texts for j in range(len(t) - 49)]
+
+
+def test_shards_smaller_than_a_partition(docs_of, monkeypatch):
+    monkeypatch.setattr(repeats, "SHARD_TEXT", 400)
+    rng = random.Random(7)
+    pool = ["".join(rng.choice("abcd ") for _ in range(70)) for _ in range(6)]
+    docs = [(k, "".join(rng.choice(pool) for _ in range(rng.randrange(5)))) for k in range(40)]
+    assert run(docs_of, docs, bucket_text=700) == brute(docs)
 
 
 def test_keys_are_equal_for_equal_strings():
