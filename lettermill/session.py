@@ -11,6 +11,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[1])
+#: Bytes of rows that go to a Python worker at once.
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = "8m"
 _OWN_DIR: list[str] = []
 _MADE: list[str] = []
 
@@ -21,10 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers find this package when it was not installed on them."""
+    """Let Python workers find this package when it was not installed on them, and bound the batches they get.
+
+    A batch of 10,000 long texts is copied several times between JVM and Python; ARROW_BYTES of them do as well.
+    """
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
+    if spark.conf.get(ARROW_LIMIT) == "67108864b":  # Spark's default
+        spark.conf.set(ARROW_LIMIT, ARROW_BYTES)
     return spark
 
 
