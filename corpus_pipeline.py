@@ -18,13 +18,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lettermill.llm import catalog, mixing, packing, quality, secrets, simhash
-from lettermill.session import materialize, table
+from lettermill.session import materialize, ready, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+    return quality.keep_good(docs, table(ready(spark), sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
