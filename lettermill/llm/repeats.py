@@ -438,12 +438,12 @@ def remove_repeats(docs: DataFrame, bucket_text: int = BUCKET_TEXT) -> DataFrame
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("key"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_text))
-    seat = F.pmod(F.shiftright("shard", SHARD_BITS) + F.col("shard").bitwiseAND((1 << SHARD_BITS) - 1) * 7919, F.lit(max(shuffle_width(spark), buckets))).cast("int")
     sent = _send_keys(rows, folder, buckets)
     width = max(shuffle_width(spark), buckets)  # each bucket has a partition of its own
+    seat = lambda rows: rows.withColumn("seat", F.pmod(F.shiftright("shard", SHARD_BITS) + F.col("shard").bitwiseAND((1 << SHARD_BITS) - 1) * 7919, F.lit(width)).cast("int")).repartitionById(width, "seat").groupBy("seat", "shard")
     wanted = materialize(sent.repartitionById(width, "bucket").groupBy("bucket").applyInArrow(_answer_keys, KEYS), "keys")
-    fragments = wanted.repartitionById(width, seat).groupBy("shard").applyInArrow(_send_fragments(folder, buckets), FRAGMENTS)
+    fragments = seat(wanted).applyInArrow(_send_fragments(folder, buckets), FRAGMENTS)
     answers = materialize(fragments.repartitionById(width, "bucket").groupBy("bucket").applyInArrow(_answer_fragments, ANSWERS), "answers")
     nothing = F.lit(None).cast("binary")
     every = answers.unionByName(wanted.filter("bucket < 0").select("bucket", "shard", nothing.alias("at"), nothing.alias("least")))
-    return every.repartitionById(width, seat).groupBy("shard").applyInArrow(_remove(folder), OUT)
+    return seat(every).applyInArrow(_remove(folder), OUT)
