@@ -5,7 +5,7 @@ import zlib
 
 import corpus_pipeline
 from lettermill.llm import quality
-from lettermill.llm.simhash import fingerprint
+from lettermill.llm.simhash import WIDE, bits_allowed, wide_fingerprint
 
 import __spark_entry__ as entry
 
@@ -25,10 +25,14 @@ def test_stages_take_effect(spark):
             kept = sorted(r["doc_id"] for r, s in zip(was, score(r["text"].encode() for r in was), strict=True) if s >= 0.3)
             assert sorted(r["doc_id"] for r in rows) == kept and 0 < len(kept) < len(was)
         if name == "simhash_near_dedup":
-            fps = {r["doc_id"]: fingerprint(r["text"].encode()) for r in was}
-            left = {r["doc_id"] for r in rows}
-            assert all(bin(fps[a] ^ fps[b]).count("1") > 4 for a in left for b in left if a < b)
-            assert all(any(bin(fps[i] ^ fps[j]).count("1") <= 4 for j in fps if j != i) for i in fps.keys() - left)
+            fps = {r["doc_id"]: int.from_bytes(wide_fingerprint(r["text"].encode()), "little") for r in was}
+            most, left = bits_allowed(0.8, WIDE), {r["doc_id"] for r in rows}
+            assert all((fps[a] ^ fps[b]).bit_count() > most / 2 for a in left for b in left if a < b)  # nearer ones meet for sure, or nearly
+            assert all(any((fps[i] ^ fps[j]).bit_count() <= most for j in fps if j != i) for i in fps.keys() - left)
+            words = {r["doc_id"]: r["text"].split() for r in was}
+            sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+            alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.85 * len(sets[a] | sets[b])]
+            assert sum(a in left and b in left for a, b in alike) <= 0.1 * len(alike)
         if name == "secret_scans":
             texts = {r["doc_id"]: r["text"] for r in rows}
             assert not any(re.search("AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}", t) for t in texts.values())

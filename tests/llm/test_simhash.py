@@ -61,8 +61,18 @@ def test_repeated_and_null_ids(docs_of):
     assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in rows) == [("5", "5"), ("5", "5"), ("9", "9"), ("None", "5"), ("None", "None")]
 
 
-def test_large_groups_in_tiles(stored, monkeypatch):
+def test_large_groups_in_tiles(spark, stored, monkeypatch):
     monkeypatch.setattr(simhash, "TILE_ROWS", 10)
+    monkeypatch.setattr(simhash, "FAN_TILES", 2)
+    records = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(records, 7)
+    try:
+        large_groups(stored, monkeypatch)
+    finally:
+        spark.conf.unset(records)
+
+
+def large_groups(stored, monkeypatch):
     rng = random.Random(3)
     fps = {0}
     for _ in range(12):
@@ -102,6 +112,43 @@ def test_index_finds_every_near_entry():
     assert ranks == list(range(64))
 
 
+def jaccard(a, b, n=5):
+    x, y = ({tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def test_texts_of_similar_shingles_are_one_group(docs_of):
+    rng = random.Random(6)
+    texts = []
+    for _ in range(60):
+        base = ["w%d" % rng.randrange(5000) for _ in range(rng.randrange(150, 600))]
+        texts.append(" ".join(base))
+        for share in (0.01, 0.02, 0.2):
+            own = list(base)
+            for at in rng.sample(range(len(own)), int(share * len(own)) or 1):
+                own[at] = "x%d" % rng.randrange(5000)
+            texts.append(" ".join(own))
+    kept = {r["doc_id"] for r in simhash.keep_one(docs_of(texts)).collect()}
+    for k in range(0, len(texts), 4):
+        assert k in kept
+        for j in (k + 1, k + 2):
+            assert j not in kept or jaccard(texts[k], texts[j]) < 0.85
+        assert k + 3 in kept and jaccard(texts[k], texts[k + 3]) < 0.5
+
+
+def test_share_of_bits_follows_the_similarity():
+    rng = random.Random(7)
+    for share in (0.01, 0.02, 0.03):
+        base = ["w%d" % rng.randrange(9000) for _ in range(3000)]
+        own = list(base)
+        for at in rng.sample(range(3000), int(3000 * share)):
+            own[at] = "other"
+        a, b = " ".join(base), " ".join(own)
+        x, y = (np.frombuffer(simhash.wide_fingerprint(t.encode(), words=32), dtype="<u8") for t in (a, b))
+        apart = int(np.bitwise_count(x ^ y).sum()) / 2048
+        assert abs(apart - simhash.bits_apart(jaccard(a, b))) < 0.03
+
+
 def test_one_document_of_each_group_stays(docs_of):
     docs = docs_of([(3, "a b c d e f", "s"), (1, "a b c d e f", "s"), (1, "a b c d e f", "s"), (7, "quite another text of words", "s"), (None, "a b c d e f", "s"), (8, None, "s"), (9, "", "s")])
     kept = simhash.keep_one(docs)
