@@ -3,8 +3,9 @@
 Base spans are the strict patterns. Weak parts (identifiers, opaque values, endpoints) mean nothing alone;
 an interval join within scopes reports one only when parts that complement it start within `SCOPE` code
 points: an identifier needs a secret, an opaque value needs an identifier, an endpoint needs both. Strict
-spans complement weak ones too, and weak spans that overlap a strict one are dropped. An opaque value that
-lies within a weak identifier is that identifier and no secret, so it does not complement itself.
+spans complement weak ones too, and weak spans that overlap a strict one are dropped. Of weak spans that overlap
+only the most telling kind counts, an identifier before an opaque value before an endpoint, so no part
+complements itself: the value in `client_id: AbC...` is no secret, and a url with an opaque value in it no endpoint.
 
 Positions: the pieces between matches (split) and the matches alternate, so prefix sums of their lengths, a
 window over one document's matches, are code point positions. The interval join is on (row, bucket of SCOPE
@@ -27,7 +28,7 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # the + form with 16+ characters: a run that is too short has no longer one inside
 HEX = r"[0-9a-f]{32,}"
 WEAK_ID = r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{4,11}|(?:ASIA|AIDA|AROA)[A-Z0-9]{4,})(?![A-Za-z0-9])|(?i:client_?id|access_?key_?id|user_?name)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,}"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/]{0,40}[0-9])(?=[a-z0-9+/]{0,40}[A-Z])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/_.=-])"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/]*+[0-9])(?=[a-z0-9+/]*+[A-Z])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/_.=-])"
 ENDPOINT = r"(?<![A-Za-z0-9])[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D\"'<>]+"
 
 #: kind, pattern, cheap test for texts that cannot match, role, and the roles a weak span needs near it.
@@ -76,8 +77,13 @@ def _linked(spans: DataFrame) -> DataFrame:
     by_start = Window.partitionBy("_row").orderBy("start", "kind", "end")
     covered = F.max(F.when(strict, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, 0)) > F.col("start")
     meets = F.min(F.when(strict, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing)) < F.col("end")
-    named = (F.col("kind") == 4) & (F.max(F.when(F.col("kind") == 3, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, 0)) >= F.col("end"))
-    marked = spans.withColumn("_overlaps", F.coalesce(covered, F.lit(False)) | F.coalesce(meets, F.lit(False)) | F.coalesce(named, F.lit(False)))
+    lesser = F.lit(False)
+    for kind in (3, 4):  # a weak span of this kind that overlaps makes those of later kinds count for nothing
+        own = F.col("kind") == kind
+        ends_after = F.max(F.when(own, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, 0)) > F.col("start")
+        starts_before = F.min(F.when(own, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing)) < F.col("end")
+        lesser = lesser | ((F.col("kind") > kind) & (F.coalesce(ends_after, F.lit(False)) | F.coalesce(starts_before, F.lit(False))))
+    marked = spans.withColumn("_overlaps", F.coalesce(covered, F.lit(False)) | F.coalesce(meets, F.lit(False)) | lesser)
     kept = marked.filter(F.col("kind").isNull() | strict | ~F.col("_overlaps")).drop("_overlaps")
     role = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS]), F.col("kind") + 1)
     needs = F.element_at(F.array(*[F.array(*[F.lit(r) for r in k[4]]).cast("array<string>") for k in KINDS]), F.col("kind") + 1)
