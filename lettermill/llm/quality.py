@@ -3,8 +3,8 @@
 Random indexing: each word (a hash bucket, so the table is bounded) has a fixed sparse ternary index vector;
 its word vector is the sum, over all documents, of the index vectors of its neighbours within two places.
 Tasks sum their own documents; the partial tables are added up in a tree of bounded groups. A document's
-features are the weighted mean and spread of its word vectors (rare words weigh more), its log length and its rate of words repeated at once. A
-network of one hidden layer, in numpy, is trained on a bounded sample of labelled rows (`TRAIN_ROWS`, least
+features are pools of its word vectors and of nothing else: their weighted mean and spread (rare words weigh
+more), and the means of the products of each vector with the next one and the one after that. A network of one hidden layer, in numpy, is trained on a bounded sample of labelled rows (`TRAIN_ROWS`, least
 hashes first), and a temperature fitted on rows that the weights never saw calibrates its probabilities.
 
 Only the text enters a score. Rows whose crc32(doc_id as text) mod 5 is 0 are never learnt from.
@@ -42,7 +42,7 @@ FAN_IN = 64
 RARE = 1e-3
 TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+|[^a-z0-9\x80-\xff\s]+")
 STRETCH = 400_000
-FEATURES = 2 * DIMS + 4
+FEATURES = (2 + WINDOW) * DIMS
 
 
 class Buckets(dict):
@@ -146,7 +146,7 @@ def pooling_table(table: np.ndarray) -> np.ndarray:
 
 
 def features(texts: Iterable[bytes], pool: np.ndarray) -> np.ndarray:
-    """A row for each text: weighted mean and spread of its word vectors, mean weight, log length, repeats."""
+    """A row for each text: weighted mean and spread of its word vectors, means of products with the following ones."""
     vectors, weights = pool[:, :DIMS], pool[:, DIMS]
     rows = [np.zeros((0, FEATURES), dtype=np.float32)]
     for words, lengths in _stretches(texts):
@@ -160,12 +160,11 @@ def features(texts: Iterable[bytes], pool: np.ndarray) -> np.ndarray:
             x[full, :DIMS] = np.add.reduceat(v * w, starts, axis=0) / mass
             square = np.add.reduceat(v * v * w, starts, axis=0) / mass
             x[full, DIMS : 2 * DIMS] = np.sqrt(np.maximum(0.0, square - x[full, :DIMS] ** 2))
-            x[full, 2 * DIMS] = (mass / lengths[full][:, None])[:, 0]
-        x[:, 2 * DIMS + 1] = np.log1p(lengths) / 10.0
-        doc = np.repeat(np.arange(len(lengths)), lengths)
-        for k, step in enumerate((1, 2)):  # how often a word comes again at once
-            again = doc[step:][(words[step:] == words[:-step]) & (doc[step:] == doc[:-step])]
-            x[:, 2 * DIMS + 2 + k] = np.bincount(again, minlength=len(lengths)) / np.maximum(1, lengths)
+            doc = np.repeat(np.arange(len(lengths)), lengths)
+            for step in range(1, WINDOW + 1):
+                product = np.zeros_like(v)
+                product[:-step] = v[step:] * v[:-step] * (doc[step:] == doc[:-step])[:, None]
+                x[full, (1 + step) * DIMS : (2 + step) * DIMS] = np.add.reduceat(product, starts, axis=0) / np.maximum(1, lengths[full] - step)[:, None]
         rows.append(x)
     return np.concatenate(rows)
 
