@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.llm.secrets import with_text
-from lettermill.session import materialize
+from lettermill.session import materialize, shuffle_width
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -33,6 +33,7 @@ MOST_EPOCHS = 2
 #: Linear tilt of a source's schedule, by rank: its share of the mix starts at 1 - tilt and ends at 1 + tilt times its mean.
 TILTS = (-0.5, 0.0, 0.5)
 LEAST_BUCKET_ROWS = 1000
+CHUNK = 4096  # copies of a row that are told apart at a time
 
 
 def word_count(text: Column) -> Column:
@@ -65,8 +66,8 @@ def training_time(share: Column, tilt: Column) -> Column:
 
 
 def placed(sizes: DataFrame, **settings) -> DataFrame:
-    """One row for each row (doc_id, source, size, copies, _row), copies told apart: taken words, first position, and place in the stream."""
-    rows = sizes.agg(F.count("*")).first()[0]
+    """One row for each row (doc_id, source, size, copies, chunk, _row), copies told apart: taken words, first position, and place in the stream."""
+    rows, chunks = sizes.agg(F.count("*"), F.max("chunk")).first()
     buckets = max(1, rows // max(LEAST_BUCKET_ROWS, math.isqrt(rows)))  # neither level of sums has a long window
     order = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"), F.col("_row").cast("string")).cast("binary"))
     grouped = sizes.withColumn("order", order).withColumn("bucket", F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") * buckets / float(1 << 32)).cast("long"))
@@ -75,9 +76,11 @@ def placed(sizes: DataFrame, **settings) -> DataFrame:
     bases = sums.select("source", "bucket", F.coalesce(F.sum("words").over(by_source), F.lit(0)).alias("base"))
     targets = source_targets(sizes, **settings)
     bases = bases.alias("b").join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select("b.source", "bucket", "base", "source_size", "tilt", "target")
-    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size", "_row", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     spread = grouped.withColumn("inner", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(within), F.lit(0)))
-    joined = spread.alias("d").join(bases.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket"))).select("d.doc_id", "d.source", "size", "copies", "_row", "inner", "base", "source_size", "tilt", "target")
+    joined = spread.alias("d").join(bases.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket"))).select("d.doc_id", "d.source", "size", "copies", "chunk", "_row", "inner", "base", "source_size", "tilt", "target")
+    if chunks:  # of a row with very many copies
+        joined = joined.repartition(shuffle_width(sizes.sparkSession), "doc_id", "size", "chunk", "inner")
     each = joined.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
     each = each.withColumn("start", F.col("base") + F.col("inner") + F.col("copy") * F.col("size"))
     goal = F.floor("target")
@@ -91,7 +94,9 @@ def placed(sizes: DataFrame, **settings) -> DataFrame:
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and how many equal rows there are; the texts are read once."""
     sizes = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"))
-    return materialize(sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies")).withColumn("_row", F.lit(None).cast("long")), "sizes")
+    counted = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies"))
+    parts = counted.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK))))
+    return materialize(parts.withColumn("copies", F.least(F.lit(CHUNK).cast("long"), F.col("copies") - F.col("chunk") * CHUNK)).withColumn("_row", F.lit(None).cast("long")), "sizes")
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
@@ -103,7 +108,7 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix as documents: a row for each pass over a document, cut to the words taken, by position."""
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
-    sizes = numbered.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.source").cast("string").alias("source"), word_count(F.col("doc.text")).alias("size"), F.lit(1).cast("long").alias("copies"), "_row")
+    sizes = numbered.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.source").cast("string").alias("source"), word_count(F.col("doc.text")).alias("size"), F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("chunk"), "_row")
     plan = placed(materialize(sizes, "sizes"), **settings).filter("taken > 0")
     each_pass = F.array(*[F.struct(F.col(w).alias("words"), F.col(at).alias("at")) for w, at in (("first_pass", "position"), ("second_pass", "second_position"))])
     passes = plan.select(F.col("_row").alias("_of"), F.col("doc_id").alias("_id"), "size", F.explode(each_pass).alias("p")).filter("p.words > 0").select("_of", "_id", "size", "p.words", "p.at")

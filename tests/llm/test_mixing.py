@@ -109,3 +109,11 @@ def test_mixed_documents_are_the_words_taken(docs_of):
     for _, t, s in data:
         sizes[s] = sizes.get(s, 0) + words(t)
     assert all(abs(by_source[s] - t) <= 1 for s, t in targets(sizes).items())
+
+
+def test_very_many_copies_of_a_row(docs_of, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    items = [(None, "", None)] * 30 + [(1, "a b c", "s")] * 40 + [(k, "w " * k, "t") for k in range(12)]
+    a = sorted(map(str, mixing.mix(docs_of(items)).collect()))
+    monkeypatch.setattr(mixing, "CHUNK", 4096)
+    assert a == sorted(map(str, mixing.mix(docs_of(items)).collect())) and len(a) == 82
