@@ -7,10 +7,14 @@ white-space separated words, one after the other. Only words not seen before rea
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Iterator
 
 import numpy as np
 
 MEMO_WORDS = 300_000
+BLOCK = 1 << 20
+SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 #: Punctuation that, standing last in a word after a letter or digit, is a token run of its own.
 TAIL = b",.;:!?$&%*#"
 
@@ -76,13 +80,25 @@ class WordIds:
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         out = []
         for text in texts:
-            if len(self.words) > MEMO_WORDS:
-                self.words.older = {}
-                self.words = Memo(self._ids, self.words)
-            out.append(b"".join(map(self.words.__getitem__, text.split())))
+            parts = []
+            for block in blocks(text):
+                if len(self.words) > MEMO_WORDS:
+                    self.words.older = {}
+                    self.words = Memo(self._ids, self.words)
+                parts.append(b"".join(map(self.words.__getitem__, block.split())))
+            out.append(parts[0] if len(parts) == 1 else b"".join(parts))
         return out
 
 
+def blocks(text: bytes) -> Iterator[bytes]:
+    """A text in parts of about BLOCK bytes that end at white space."""
+    at = 0
+    while len(text) - at > BLOCK and (space := SPACE.search(text, at + BLOCK)):
+        yield text[at : space.start()]
+        at = space.start()
+    yield text[at:] if at else text
+
+
 _LOADED: dict[str, WordIds] = {}
 
 

@@ -26,6 +26,24 @@ def test_word_ids_equal_the_tokenizer():
         assert np.frombuffer(raw, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_long_texts_are_encoded_in_blocks(monkeypatch):
+    from lettermill.llm import tokens
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(["word ", "a\t", "é\n", "x" * 30, "\u00a0", "\x0b"]) for _ in range(200)) for _ in range(30)]
+    whole = WordIds(PATH).encode_all([t.encode() for t in texts])
+    monkeypatch.setattr(tokens, "BLOCK", 7)
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 3)
+    assert WordIds(PATH).encode_all([t.encode() for t in texts]) == whole
+    assert all(b"".join(tokens.blocks(t.encode())) == t.encode() for t in texts)
+
+
+def test_many_empty_documents_end_with_the_lower_bound(spark, tmp_path):
+    spark.range(10_000).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN '' END AS text").write.parquet(f"{tmp_path}/d")
+    rows = pack_documents(spark.read.parquet(f"{tmp_path}/d"), PATH).collect()
+    assert len(rows) == 10_000 and {r["length"] for r in rows} == {1} and check(rows, 4096) == 3
+
+
 def check(rows, capacity):
     places = defaultdict(list)
     for r in rows:
