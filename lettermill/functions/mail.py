@@ -23,6 +23,8 @@ local lan internal localdomain home
 STRIP_NAMES = ("received", "received-spf", "authentication-results", "delivered-to", "x-original-to", "return-path", "dkim-signature", "dkim-filter", "x-received", "x-greylist")
 STRIP_PREFIXES = ("arc-", "x-spam", "x-virus", "x-clamav", "x-amavis", "x-google", "x-gm-", "x-ms-", "x-microsoft-", "x-forefront-")
 ANYWHERE_PREFIXES = ("x-rspamd-", "x-spamd-")
+#: Words that begin a clause of a Received header, and the list software's delivery stamp.
+TRACE_WORDS = ("from", "by", "via", "with", "id", "for", ";")
 QMAIL = r"(?i)^\s*\(qmail\s+\d+\s+invoked\b"
 PLAIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 TURNED = "NOPQRSTUVWXYZABCDEFGHIJKLMnopqrstuvwxyzabcdefghijklm"
@@ -138,21 +140,25 @@ def guarded_date(stated: Column, evidence: Column, skew: int = 172_800) -> Colum
 # ---- sanitizing ----
 
 
-def _clause(c: Column, own: str, others: str) -> Column:
-    return F.regexp_extract(c, rf"(?is)\b{own}\s+(.+?)(?=\s+(?:{others}|via|with|id|for|;)\s|$)", 1)
+def trace_clauses(received: Column) -> Column:
+    """A Received header as (name, words): each clause from its word to the next such word."""
+    words = F.split(F.trim(F.regexp_replace(received, r"\s+", " ")), " ")
+    marks = F.filter(F.transform(words, lambda w, i: F.when(F.lower(w).isin(*TRACE_WORDS), i)), lambda i: i.isNotNull())
 
+    def clause(at: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(marks, k + 1), F.size(words))
+        return F.struct(F.lower(F.get(words, at)).alias("name"), F.array_join(F.slice(words, at + 2, end - at - 1), " ").alias("words"))
 
-def by_clause(received: Column) -> Column:
-    """The receiving host of a Received header."""
-    return _clause(received, "by", "from")
+    return F.transform(marks, clause)
 
 
-def from_clause(received: Column) -> Column:
-    return _clause(received, "from", "by")
+def trace_clause(received: Column, name: str) -> Column:
+    """The first clause of a name; empty if there is none."""
+    return F.coalesce(F.get(F.filter(trace_clauses(received), lambda x: x["name"] == name), F.lit(0))["words"], F.lit(""))
 
 
-def is_qmail_stamp(received: Column) -> Column:
-    """A delivery stamp of the list software."""
+def delivery_stamp(received: Column) -> Column:
+    """Whether the list software's own delivery wrote the header."""
     return received.rlike(QMAIL)
 
 
@@ -162,7 +168,7 @@ def boundary(hs: Column, hop: str) -> Column:
         hs,
         lambda h, i: F.when(
             F.lower(h["name"]) == "received",
-            F.when(by_clause(h["value"]).rlike(f"(?i){hop}"), i).when(from_clause(h["value"]).rlike(f"(?i){hop}"), i + 1).when(is_qmail_stamp(h["value"]), i),
+            F.when(trace_clause(h["value"], "by").rlike(f"(?i){hop}"), i).when(trace_clause(h["value"], "from").rlike(f"(?i){hop}"), i + 1).when(delivery_stamp(h["value"]), i),
         ),
     )
     return F.get(F.filter(mark, lambda x: x.isNotNull()), F.lit(0))
@@ -172,18 +178,19 @@ def _starts(name: Column, prefixes: tuple[str, ...]) -> Column:
     return name.rlike("^(?:" + "|".join(prefixes) + ")")
 
 
-def is_strip(name: Column) -> Column:
+def added_in_delivery(name: Column) -> Column:
+    """Whether a header of this (lower-case) name belongs to one subscriber's delivery."""
     return name.isin(*STRIP_NAMES) | _starts(name, STRIP_PREFIXES)
 
 
 def sanitized(hs: Column, hop: str) -> Column:
     """Headers without what a subscriber's delivery added above the boundary."""
     edge = boundary(hs, hop)
-    return F.filter(hs, lambda h, i: ~_starts(F.lower(h["name"]), ANYWHERE_PREFIXES) & (edge.isNull() | (i >= edge) | ~is_strip(F.lower(h["name"]))))
+    return F.filter(hs, lambda h, i: ~_starts(F.lower(h["name"]), ANYWHERE_PREFIXES) & (edge.isNull() | (i >= edge) | ~added_in_delivery(F.lower(h["name"]))))
 
 
 def residual(hs: Column, hop: str) -> Column:
     """Names that would have been stripped but stand below the boundary."""
     edge = boundary(hs, hop)
     low = lambda h: F.lower(h["name"])
-    return F.transform(F.filter(hs, lambda h, i: (i >= edge) & is_strip(low(h)) & (low(h) != "received") & ~_starts(low(h), ANYWHERE_PREFIXES)), lambda h: h["name"])
+    return F.transform(F.filter(hs, lambda h, i: (i >= edge) & added_in_delivery(low(h)) & (low(h) != "received") & ~_starts(low(h), ANYWHERE_PREFIXES)), lambda h: h["name"])

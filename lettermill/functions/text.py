@@ -32,10 +32,14 @@ def utf8(raw: Column) -> Column:
     return F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string")).otherwise(F.decode(raw, "ISO-8859-1"))
 
 
+#: What a masked address loses, and the escape before From at the start of a line.
+ADDRESS_REST = r"""@[^ \t\n\r\f\x0B<>()\[\]"',;]*"""
+FROM_ESCAPE = r"(?m)^>+(?=From )"
+
+
 def normal_body(c: Column) -> Column:
     """A body for comparison: addresses masked, From-escapes undone, white space folded."""
-    masked = F.regexp_replace(c, r"""@[^ \t\n\r\f\x0B<>()\[\]"',;]*""", "@")
-    return fold(F.regexp_replace(masked, r"(?m)^>+(?=From )", ""))
+    return fold(F.regexp_replace(F.regexp_replace(c, ADDRESS_REST, "@"), FROM_ESCAPE, ""))
 
 
 def bodies_differ(sha_a: Column, sha_b: Column, a: Column, b: Column) -> Column:

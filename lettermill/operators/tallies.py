@@ -33,6 +33,11 @@ def residual_headers(lines: DataFrame, line: str = "value") -> DataFrame:
     return lines.filter(F.get(fields, F.lit(0)) == "RESIDUAL").select(F.get(fields, F.lit(1)).alias("name"))
 
 
+def fails(total: Column, failed: Column, percent: int) -> Column:
+    """over_threshold as an expression."""
+    return (total > 0) & (F.floor(failed * 100 / total) > percent)
+
+
 def over_threshold(total: int, failed: int, percent: int | None) -> bool:
     """Whether a run fails: whole per cent of failures above the limit."""
     return percent is not None and total > 0 and 100 * failed // total > percent

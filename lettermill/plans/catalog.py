@@ -588,7 +588,7 @@ def x13_mail_date(spark, d):
 @query("SELECT o_orderkey, 'mail' || (o_orderkey % 3) || '.hop.net' AS by_host, 'a.org (a.org [1.2.3.4])' AS from_host FROM orders")
 def x30_received_clauses(spark, d):
     hop = F.get(mail.values(F.col("hs"), "Received"), F.lit(1))
-    return _made_mail(spark, d).select("o_orderkey", mail.by_clause(hop).alias("by_host"), mail.from_clause(hop).alias("from_host"))
+    return _made_mail(spark, d).select("o_orderkey", mail.trace_clause(hop, "by").alias("by_host"), mail.trace_clause(hop, "from").alias("from_host"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 3 END AS edge FROM orders")
@@ -723,7 +723,7 @@ def x5_header_unfold(spark, d):
 @query("SELECT event_id, event_id % 2 = 0 AS stamp FROM events")
 def x31_qmail_stamp(spark, d):
     said = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("(qmail "), F.col("event_id").cast("string"), F.lit(" invoked by uid 5); date"))).otherwise("from x by y (qmail 1 invoked by uid 5)")
-    return table(spark, d, "events").select("event_id", mail.is_qmail_stamp(said).alias("stamp"))
+    return table(spark, d, "events").select("event_id", mail.delivery_stamp(said).alias("stamp"))
 
 
 @query("WITH b AS (SELECT sha1('blob ' || strlen(text) || chr(0) || text) AS blob, doc_id FROM documents) SELECT DISTINCT blob FROM b WHERE doc_id >= 900 AND blob NOT IN (SELECT blob FROM b WHERE doc_id < 900)")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lettermill.functions import ids, mail, mime, text
 from lettermill.operators import dedup, threads
+from lettermill.operators.skew import join_unique
 from lettermill.profile import Profile
 from lettermill.session import materialize
 
@@ -21,7 +22,7 @@ def _received_date(hs, profile: Profile):
     """Time of the topmost Received header, of the list's own hops if the profile names them."""
     own = mail.values(hs, "Received")
     if profile.hop:
-        own = F.filter(own, lambda r: r.rlike(rf"(?i)\bby\s+\S*{profile.hop}") | mail.is_qmail_stamp(r))
+        own = F.filter(own, lambda r: r.rlike(rf"(?i)\bby\s+\S*{profile.hop}") | mail.delivery_stamp(r))
     dates = F.transform(own, lambda r: mail.mail_date(F.regexp_extract(r, r"(?s);\s*([^;]+?)\s*$", 1)))
     return F.get(F.filter(dates, lambda t: t > 0), F.lit(0))
 
@@ -77,9 +78,10 @@ def build(stored: DataFrame, profile: Profile, thread_index: DataFrame | None =
     won = materialize(dedup.winners(light), "winners")
     lost = dedup.losers(light, won)
     bodies = parsed.select("mid", "seq", "body")
-    pairs_won = won.join(bodies, ["mid", "seq"]).select("mid", "full_sha", "body")
-    pairs_lost = lost.select("mid", "seq", "full_sha").join(bodies, ["mid", "seq"])
-    conflict = dedup.conflicts(pairs_won, pairs_lost)
+    # Only copies whose digest is another than the winner's have their bodies read, and their winners.
+    odd = materialize(join_unique(lost.select("mid", "seq", "full_sha"), won.select("mid", F.col("full_sha").alias("_sha"), F.col("seq").alias("_seq")), "mid").filter("full_sha <> _sha"), "odd")
+    pairs_won = odd.select("mid", F.col("_seq").alias("seq"), F.col("_sha").alias("full_sha")).distinct().join(bodies, ["mid", "seq"]).drop("seq")
+    conflict = dedup.conflicts(pairs_won, odd.select("mid", "seq", "full_sha").join(bodies, ["mid", "seq"]))
     spare_url = lost.filter("source_url is not null").groupBy("mid").agg(F.min_by("source_url", F.struct("rank", (-F.col("seq")).alias("late"))).alias("spare_url"))
     edges = threads.reply_edges(light)
     if thread_index is not None:

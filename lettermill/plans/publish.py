@@ -76,6 +76,31 @@ def summary(spark: SparkSession, index: str) -> dict:
     return {"stored": manifest["total_stored"], **row.asDict(), "cves": manifest["total_cves"], "ghsas": manifest["total_ghsas"], "bytes": sum(x["bytes"] for x in manifest["bodies"].values())}
 
 
+def swap(spark: SparkSession, staging: str, out: str) -> None:
+    """Put a checked folder in the place of the last good one, which comes back if that fails.
+
+    A rename that the store refuses tells so by its result only, so every result is looked at.
+    """
+    fs, new = _fs(spark, staging)
+    _, home = _fs(spark, out)
+    _, last = _fs(spark, f"{out.rstrip('/')}.last")
+    if fs.exists(home):
+        fs.delete(last, True)
+        if not fs.rename(home, last):
+            raise OSError(f"{out} cannot be moved aside")
+    elif not fs.exists(last):
+        fs.mkdirs(home.getParent())
+    moved = False
+    try:
+        moved = fs.rename(new, home)
+    finally:
+        if not moved and fs.exists(last) and not fs.rename(last, home):
+            raise OSError(f"the last good copy of {out} is at {out}.last")
+    if not moved:
+        raise OSError(f"{staging} cannot be moved to {out}")
+    fs.delete(last, True)
+
+
 def publish(stored: DataFrame, out: str, profile: Profile, thread_index: DataFrame | None = None, status: str | None = None, started: int | None = None, run: tuple = (0, 0, None), built_from: dict | None = None, **more) -> Report:
     """Build, check and only then replace the index at `out`; a failed build leaves the last good one.
 
@@ -85,7 +110,6 @@ def publish(stored: DataFrame, out: str, profile: Profile, thread_index: DataFra
     started = started or int(time.time())
     staging = f"{out.rstrip('/')}.next"
     fs, next_home = _fs(spark, staging)
-    _, home = _fs(spark, out)
     fs.delete(next_home, True)
     newest, manifest, report = None, {}, Report(1, ["index export failed"])
     try:
@@ -94,9 +118,7 @@ def publish(stored: DataFrame, out: str, profile: Profile, thread_index: DataFra
         report = check(spark, staging, stored)
         newest = newest_ts(index.messages)
         if report.ok:
-            fs.delete(home, True)
-            fs.mkdirs(home.getParent())
-            fs.rename(next_home, home)
+            swap(spark, staging, out)
     finally:
         fs.delete(next_home, True)
         if status:
@@ -125,3 +147,39 @@ def rewrite_log(stored: DataFrame, hop: str, drop: list[str] = ()) -> tuple[Data
 def unexpected_blobs(written: DataFrame, rewritten: DataFrame) -> DataFrame:
     """Blobs of a written log that the rewrite did not give: none, if the swap may go on."""
     return written.select("blob").distinct().join(rewritten.select("blob").distinct(), "blob", "left_anti")
+
+
+def replace_log(rewritten: DataFrame, out: str) -> int:
+    """Write a rewritten log beside the old one, read it back, and swap only if no blob came that the rewrite did not give."""
+    spark = rewritten.sparkSession
+    staging = f"{out.rstrip('/')}.next"
+    rewritten.write.mode("overwrite").option("compression", "zstd").parquet(staging)
+    written = spark.read.schema(rewritten.schema).parquet(staging)
+    if not unexpected_blobs(written, rewritten).isEmpty() or not written.filter("not proven").isEmpty():
+        raise OSError("the rewritten log is not what the rewrite gave")
+    n = written.count()
+    swap(spark, staging, out)
+    return n
+
+
+def main(args: list[str]) -> int:
+    """verify INDEX: 0 if all checks hold, 1 if not, 2 if they could not be made."""
+    import sys
+
+    if len(args) != 2 or args[0] != "verify":
+        print("usage: python -m lettermill verify INDEX", file=sys.stderr)
+        return 2
+    spark = SparkSession.builder.appName("verify").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    try:
+        if not shards.read_document(spark, f"{args[1]}/manifest.json"):
+            print("no manifest", file=sys.stderr)
+            return 2
+        report = check(spark, args[1])
+    except Exception as error:
+        print(f"{type(error).__name__}: {error}", file=sys.stderr)
+        return 2
+    for line in report.first:
+        print(line)
+    if report.count > len(report.first):
+        print(f"and {report.count - len(report.first)} more")
+    return int(not report.ok)

@@ -111,14 +111,17 @@ def _fs(spark: SparkSession, path: str):
 
 
 def put_document(spark: SparkSession, path: str, content: str) -> None:
-    """A small document under a draft name, then renamed."""
+    """A small document under a draft name, then renamed over the old one in one step."""
     fs, target = _fs(spark, path)
     draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
     out = fs.create(draft, True)
     out.write(bytearray(content.encode()))
     out.close()
-    fs.delete(target, False)
-    fs.rename(draft, target)
+    jvm = spark.sparkContext._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    where = fs.makeQualified(target)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(draft), where, over)
 
 
 def export(index: Index, out: str, source: str, built_from: dict[str, str] | None = None, generated_at: int | None = None) -> dict:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +53,42 @@ def quarantined(spark: SparkSession, path: str) -> DataFrame:
     """suffix, n: files set aside by a run."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{eml,html}").load(path).select("path")
     return files.groupBy(F.regexp_extract("path", r"\.(\w+)$", 1).alias("suffix")).agg(F.count("*").alias("n"))
+
+
+def set_aside(rows: DataFrame, folder: str) -> int:
+    """Write rows (name, content) as files for a person to look at; how many there are.
+
+    Tasks write them, under a draft name that is renamed, so a repeated task puts the same file.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, where = fs.FileSystem.from_uri(folder)
+        store.create_dir(where, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                with store.open_output_stream(f"{where}/{name}.draft") as f:
+                    f.write(content or b"")
+                store.move(f"{where}/{name}.draft", f"{where}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    safe = F.regexp_replace(F.col("name"), r"[^A-Za-z0-9._-]", "_")
+    wrote = rows.select(safe.alias("name"), F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long")
+    return wrote.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def append_line(spark: SparkSession, log: str, line: str) -> None:
+    """Add a run's line to a log that is a folder of text files."""
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(log)
+
+
+def write_report(tallied: DataFrame, lines: DataFrame, path: str, title: str) -> int:
+    """A header, the tally and then every line, as text; nothing is written for no lines."""
+    n = lines.count()
+    if n:
+        counts = tallied.select(F.struct(F.lit(1).alias("part"), (-F.col("n")).alias("k"), F.col("what").cast("string").alias("s")).alias("at"), F.concat(F.lpad(F.col("n").cast("string"), 8, " "), F.lit(" "), F.col("what").cast("string")).alias("value"))
+        head = lines.sparkSession.createDataFrame([(0, f"{title}: {n}"), (2, "")], "part int, value string").select(F.struct("part", F.lit(0).cast("long").alias("k"), F.lit("").alias("s")).alias("at"), "value")
+        full = lines.select(F.struct(F.lit(3).alias("part"), F.monotonically_increasing_id().alias("k"), F.lit("").alias("s")).alias("at"), "value")
+        head.unionByName(counts).unionByName(full).sort("at").select("value").write.mode("overwrite").text(path)
+    return n

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -25,21 +28,39 @@ def read_lines(spark: SparkSession, index: str, kind: str) -> DataFrame:
 
 
 def read_mentions(spark: SparkSession, index: str, kind: str) -> DataFrame:
-    """shard, id, pos and the mention's fields; each file is one object from identifiers to lists."""
-    files = spark.read.text(f"{index}/{kind}", wholetext=True, pathGlobFilter="*.json").select(_shard().alias("shard"), "value")
+    """shard, id, pos and the mention's fields; an object's file has a line for each identifier, and lines are read apart."""
+    lines = spark.read.text(f"{index}/{kind}", pathGlobFilter="*.json").select(_shard().alias("shard"), "value").filter("value like '\"%'")
     shape = "map<string,array<struct<message_id:string,date:string,url:string,thread_root:string>>>"
-    each = files.select("shard", F.explode(F.from_json("value", shape)).alias("id", "list"))
+    one = F.concat(F.lit("{"), F.regexp_replace("value", r",\s*$", ""), F.lit("}"))
+    each = lines.select("shard", F.explode(F.from_json(one, shape)).alias("id", "list"))
     return each.select("shard", "id", F.posexplode("list").alias("pos", "m")).select("shard", "id", "pos", "m.*")
 
 
 def measured_files(spark: SparkSession, index: str) -> DataFrame:
-    """kind, shard, count, sha256, bytes of every shard on disk, measured from the bytes (V3)."""
+    """kind, shard, count, sha256, bytes of every shard on disk, measured from the bytes, read in blocks (V3)."""
     kinds = [f"{index}/{kind}" for kind in ("messages", "bodies", "cves", "ghsas")]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{json,jsonl}").load(kinds).filter(F.col("path").rlike(r"/(?:\d{4}|all)\.jsonl?$"))
     kind, shard = F.regexp_extract("path", r"/(\w+)/([^/]+)\.jsonl?$", 1), F.regexp_extract("path", r"/(\w+)/([^/]+)\.jsonl?$", 2)
-    lines = F.regexp_count(F.col("content").cast("string"), F.lit("\n")).cast("long")
-    count = F.when(kind.isin("messages", "bodies"), lines).otherwise(lines - 2)  # an object has a line for each id, and two braces
-    return files.select(kind.alias("kind"), shard.alias("shard"), count.alias("count"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                store, where = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+                sha, lines = hashlib.sha256(), 0
+                with store.open_input_stream(where) as f:
+                    while block := f.read(1 << 20):
+                        sha.update(block)
+                        lines += block.count(b"\n")
+                found.append((lines, sha.hexdigest()))
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("shard"), pa.array([n for n, _ in found], pa.int64()), pa.array([h for _, h in found], pa.string()), batch.column("bytes")], names=["kind", "shard", "lines", "sha256", "bytes"])
+
+    names = files.select(kind.alias("kind"), shard.alias("shard"), "path", F.col("length").alias("bytes")).repartition("kind", "shard")
+    seen = names.mapInArrow(measure, "kind string, shard string, lines long, sha256 string, bytes long")
+    count = F.when(F.col("kind").isin("messages", "bodies"), F.col("lines")).otherwise(F.col("lines") - 2)  # an object has a line for each id, and two braces
+    return seen.select("kind", "shard", count.alias("count"), "sha256", "bytes")
 
 
 def read_document(spark: SparkSession, path: str) -> dict:

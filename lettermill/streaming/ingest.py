@@ -1,4 +1,4 @@
-"""Incremental ingest: rolling windows, idempotent dedup, append.
+"""Incremental ingest: rolling windows, idempotent dedup, append.
 
 Event times are made plausible before the watermark (T5): a forged date in the future would move it on.
 Exact dedup has no horizon, so each micro-batch is checked against the whole log by an anti-join; the
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from lettermill.functions.mail import guarded_date
@@ -80,3 +80,32 @@ def windowed_counts(stream: DataFrame, ts: str = "ts", every: str = "1 day") ->
     """start, n: rows in each window, for the freshness log."""
     grouped = stream.withWatermark(ts, LATE).groupBy(F.window(ts, every))
     return grouped.agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "n")
+
+
+class Freshness(StreamingQueryListener):
+    """What the progress of queries says: rows taken, and the newest event time, against the interval of runs.
+
+    spark.streams.addListener(Freshness()); event times are those of the query's watermark column.
+    """
+
+    def __init__(self, interval: int = 14_400):
+        self.interval, self.rows, self.newest = interval, 0, None
+
+    def onQueryStarted(self, event) -> None: ...  # noqa: N802
+
+    def onQueryIdle(self, event) -> None: ...  # noqa: N802
+
+    def onQueryTerminated(self, event) -> None: ...  # noqa: N802
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        from datetime import datetime
+
+        self.rows += event.progress.numInputRows
+        if newest := event.progress.eventTime.get("max"):
+            at = int(datetime.fromisoformat(newest.replace("Z", "+00:00")).timestamp())
+            self.newest = max(at, self.newest or at)
+
+    def lag(self, now: int) -> tuple[int | None, bool]:
+        """Seconds since the newest event, and whether that is late."""
+        behind = None if self.newest is None else now - self.newest
+        return behind, behind is not None and behind > self.interval
