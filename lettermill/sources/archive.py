@@ -27,10 +27,10 @@ _LINE = re.compile(r"^:\d+ \d+ [0-9a-f]+ ([0-9a-f]+) ([AM])\t([dm])$")
 
 
 class Epoch(InputPartition):
-    """Commits first to last (not included) of an epoch's `total`, counted from the oldest."""
+    """Commits first to last (not included) of an epoch's `total` up to `tip`, counted from the oldest."""
 
-    def __init__(self, number: int, path: str, first: int, last: int, total: int):
-        self.number, self.path, self.first, self.last, self.total = number, path, first, last, total
+    def __init__(self, number: int, path: str, tip: str, first: int, last: int, total: int):
+        self.number, self.path, self.tip, self.first, self.last, self.total = number, path, tip, first, last, total
 
 
 class EpochReader(DataSourceReader):
@@ -40,17 +40,19 @@ class EpochReader(DataSourceReader):
     def partitions(self) -> list[Epoch]:
         out = []
         for number, path in sorted((int(p.stem), p) for p in Path(self.inbox, "git").glob("*.git") if p.stem.isdigit()):
-            said = subprocess.run(["git", "-C", str(path), "rev-list", "--count", "--first-parent", self.branch, "--"], capture_output=True, text=True)
-            total = int(said.stdout) if said.returncode == 0 else 0  # an epoch without commits
-            out += [Epoch(number, str(path), k, min(total, k + self.commits), total) for k in range(0, total, self.commits)]
-        return out or [Epoch(0, "", 0, 0, 0)]
+            git = lambda *a, path=path: subprocess.run(["git", "-C", str(path), *a], capture_output=True, text=True)
+            if not (tip := git("rev-parse", "-q", "--verify", self.branch).stdout.strip()):
+                continue  # an epoch without commits
+            total = int(git("rev-list", "--count", "--first-parent", tip).stdout)  # commits that come meanwhile are for the next read
+            out += [Epoch(number, str(path), tip, k, min(total, k + self.commits), total) for k in range(0, total, self.commits)]
+        return out or [Epoch(0, "", "", 0, 0, 0)]
 
     def read(self, part: Epoch) -> Iterator[tuple]:
         if part.first == part.last:
             return
         git = ["git", "-C", part.path]
         own = [f"--skip={part.total - part.last}", f"--max-count={part.last - part.first}"]  # git counts from the newest
-        log = [*git, "log", "--reverse", "--first-parent", "--raw", "--no-abbrev", "--no-renames", "--root", "--format=@%H %ct", *own, self.branch, "--"]
+        log = [*git, "log", "--reverse", "--first-parent", "--raw", "--no-abbrev", "--no-renames", "--root", "--format=@%H %ct", *own, part.tip, "--"]
         with subprocess.Popen(log, stdout=subprocess.PIPE, text=True) as lines, subprocess.Popen([*git, "cat-file", "--batch"], stdin=subprocess.PIPE, stdout=subprocess.PIPE) as blobs:
             commit, ts, at, k = "", 0, part.first - 1, 0
             held: list[tuple] = []

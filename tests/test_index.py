@@ -66,6 +66,38 @@ def test_log_is_read_in_order_and_removals_drop_blobs(spark, inbox):
     assert all(hashlib.sha1(b"blob %d\0" % len(r["raw"]) + bytes(r["raw"])).hexdigest() == r["blob"] for r in got)
 
 
+def test_a_log_is_read_in_ranges_and_a_lost_commit_is_an_error(spark, inbox):
+    spark.dataSource.register(archive.EpochLog)
+    whole = spark.read.format("epoch_log").load(inbox).orderBy("seq").collect()
+    parts = spark.read.format("epoch_log").option("commits", 2).load(inbox)
+    assert parts.rdd.getNumPartitions() == 4 and parts.orderBy("seq").collect() == whole
+    reader = archive.EpochReader(inbox, "master", 100)
+    part = reader.partitions()[-1]
+    part.last, part.total = part.last + 1, part.total + 1
+    with pytest.raises(OSError, match="of 8"):
+        list(reader.read(part))
+    stored = archive.stored_messages(spark, inbox)
+    assert archive.lost_messages(stored, stored).count() == 0
+    assert archive.lost_messages(stored, stored.filter("seq > 8")).count() == 2
+
+
+def test_thread_index_of_the_newest_database(spark, tmp_path):
+    import sqlite3
+    import zlib
+
+    data = lambda mid: zlib.compress("\n".join(["s", "f", "r", "t", "c", "b", mid, "1", "2"]).encode())
+    for name, rows in (("xap15", [(1, 9, data("old@x"))]), ("xap16", [(0, 1, data("zero@x")), (1, 7, data("a@x")), (2, 7, data("b@x")), (3, 8, b"junk"), (60_000, 8, data("c@x"))])):
+        (tmp_path / name).mkdir()
+        with sqlite3.connect(tmp_path / name / "over.sqlite3") as db:
+            db.execute("CREATE TABLE over (num INTEGER, tid INTEGER, ddd BLOB)")
+            db.executemany("INSERT INTO over VALUES (?, ?, ?)", rows)
+    got = archive.thread_index(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [("a@x", 7), ("b@x", 7), ("c@x", 8)]
+    (tmp_path / "xap16/over.sqlite3").write_text("no database")
+    assert archive.thread_index(spark, str(tmp_path)).count() == 0
+    assert archive.thread_index(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_index(spark, inbox, tmp_path):
     index, manifest = published(spark, inbox, tmp_path / "a")
     assert (manifest["total_stored"], manifest["total_messages"], manifest["total_cves"], manifest["total_ghsas"]) == (5, 4, 2, 1)

@@ -102,3 +102,72 @@ def test_days(spark, reverse):
 def test_forged_dates_do_not_move_the_watermark(spark):
     rows = spark.sql("select timestamp'2030-01-01 00:00:00' as ts, timestamp'2024-01-01 00:00:00' as seen union all select timestamp'2024-01-02 00:00:00', timestamp'2024-01-01 00:00:00'")
     assert sorted(r["ts"].year for r in ingest.plausible(rows).collect()) == [2024, 2024]
+
+
+def test_a_rename_that_fails_leaves_the_last_good_index(spark, inbox, tmp_path, monkeypatch):  # noqa: F811
+    stored = archive.stored_messages(spark, inbox)
+    out = f"file://{tmp_path}/index"
+    assert publish.publish(stored, out, PROFILE).ok
+    good = (tmp_path / "index/manifest.json").read_text()
+    whole = publish._fs
+
+    class Refusing:
+        """A file system that refuses to rename what is staged, as a store does: by its result or an error."""
+
+        def __init__(self, fs, error):
+            self.fs, self.error = fs, error
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            if a.toString().endswith(".next"):
+                if self.error:
+                    raise OSError("refused")
+                return False
+            return self.fs.rename(a, b)
+
+    for error in (False, True):
+        with monkeypatch.context() as m:
+            m.setattr(publish, "_fs", lambda spark, path, error=error: (Refusing(whole(spark, path)[0], error), whole(spark, path)[1]))
+            with pytest.raises(OSError):
+                publish.publish(stored, out, PROFILE)
+        assert (tmp_path / "index/manifest.json").read_text() == good and not (tmp_path / "index.last").exists()
+    assert publish.check(spark, out, stored).ok
+
+
+def test_verify_command(spark, inbox, tmp_path):  # noqa: F811
+    out = f"file://{tmp_path}/index"
+    publish.publish(archive.stored_messages(spark, inbox), out, PROFILE)
+    assert publish.main(["verify", out]) == 0 and publish.main([]) == 2 and publish.main(["verify", f"{out}-none"]) == 2
+    shard = next((tmp_path / "index/messages").glob("*.jsonl"))
+    for crc in (tmp_path / "index").rglob(".*.crc"):
+        crc.unlink()
+    shard.write_text(shard.read_text().replace("one@x", "oen@x"))
+    assert publish.main(["verify", out]) == 1
+
+
+def test_rewritten_log_is_swapped_in(spark, inbox, tmp_path):  # noqa: F811
+    stored = archive.stored_messages(spark, inbox)
+    rewritten, _, _ = publish.rewrite_log(stored, r"hop\.net")
+    out = f"file://{tmp_path}/log"
+    for _ in range(2):
+        assert publish.replace_log(rewritten, out) == 5
+        assert spark.read.parquet(out).count() == 5
+    with pytest.raises(OSError):
+        publish.replace_log(rewritten.withColumn("proven", F.lit(False)), out)
+    assert spark.read.parquet(out).count() == 5
+
+
+def test_file_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("a/b.eml", bytearray(b"x")), ("c.html", bytearray(b"y"))], "name string, content binary")
+    assert logs.set_aside(rows, f"file://{tmp_path}/aside") == 2 and (tmp_path / "aside/a_b.eml").read_bytes() == b"x"
+    assert logs.set_aside(rows.limit(0), f"file://{tmp_path}/none") == 0
+    for k in (1, 2):
+        logs.append_line(spark, f"file://{tmp_path}/metrics", f"2024-01-0{k}T00:00:00Z\timport\t{k}\t{k}\t0\t0\tnone")
+    assert logs.run_counters(archive.run_log(spark, f"file://{tmp_path}/metrics"), "import") == (2, 0, None)
+    lines = spark.createDataFrame([("bad",), ("bad",), ("worse",)], "value string")
+    assert logs.write_report(logs.error_report(lines), lines, f"file://{tmp_path}/errors", "errors") == 3
+    text = [r["value"] for r in spark.read.text(f"file://{tmp_path}/errors").collect()]
+    assert text[:4] == ["errors: 3", "       2 bad", "       1 worse", ""] and len(text) == 7
+    assert logs.write_report(logs.error_report(lines.limit(0)), lines.limit(0), f"file://{tmp_path}/nothing", "errors") == 0 and not (tmp_path / "nothing").exists()
