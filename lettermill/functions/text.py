@@ -82,10 +82,8 @@ def json_string(c: Column) -> Column:
     short = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
     for symbol, escape in short.items():
         out = F.replace(out, F.lit(symbol), F.lit(escape))
-    rare = out
-    for code in range(32):
-        if chr(code) not in short:
-            rare = F.replace(rare, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
+    code = lambda c: F.concat(F.lit("\\u00"), F.lower(F.lpad(F.hex(F.ascii(c)), 2, "0")))
+    rare = F.array_join(F.transform(F.split(out, ""), lambda c: F.when((c != "") & (c < " "), code(c)).otherwise(c)), "")
     return F.coalesce(F.concat(F.lit('"'), F.when(out.rlike(r"[\x00-\x1f]"), rare).otherwise(out), F.lit('"')), F.lit("null"))
 
 

@@ -27,6 +27,13 @@ def informative(lines: DataFrame, line: str = "value") -> DataFrame:
     return lines.filter(~c.rlike("^RESIDUAL") & ~c.rlike(NOISE) & ~c.rlike(r"^\s*$"))
 
 
+def day_counts(days: DataFrame, rows: DataFrame) -> DataFrame:
+    """days_with_data, days_without, messages of a range of days."""
+    per = rows.groupBy("day").agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return days.join(per, "day", "left").agg(F.count_if(n > 0).alias("days_with_data"), F.count_if(n == 0).alias("days_without"), F.sum(n).alias("messages"))
+
+
 def residual_headers(lines: DataFrame, line: str = "value") -> DataFrame:
     """Names of headers reported as residual."""
     fields = F.split(line, "\t")

@@ -63,7 +63,8 @@ class Index:
     stored: int
 
 
-def _url(profile: Profile):
+def message_url(profile: Profile):
+    """Permalink of a message (any_url, ts, mid) in its list's scheme."""
     if profile.scheme == "permalink":
         return F.coalesce("any_url", F.date_format(F.timestamp_seconds("ts"), profile.day_url))
     if profile.scheme == "by_id":
@@ -92,7 +93,7 @@ def build(stored: DataFrame, profile: Profile, thread_index: DataFrame | None =
     nothing = F.array().cast("array<struct<blob:string,provenance:string>>")
     messages = joined.select(
         F.col("mid").alias("message_id"), F.col("synthetic").alias("synthetic_mid"), "epoch", "blob", F.coalesce("duplicates", nothing).alias("duplicates"), F.coalesce("body_conflict", F.lit(False)).alias("body_conflict"),
-        ids.iso(F.col("ts")).alias("date"), "date_source", "from", "subject", F.nullif("irt", "mid").alias("in_reply_to"), F.coalesce("thread_root", "mid").alias("thread_root"), _url(profile).alias("url"), "provenance", "cve_ids", "ghsa_ids", "body_sha", "ts", "truncated", "seq",
+        ids.iso(F.col("ts")).alias("date"), "date_source", "from", "subject", F.nullif("irt", "mid").alias("in_reply_to"), F.coalesce("thread_root", "mid").alias("thread_root"), message_url(profile).alias("url"), "provenance", "cve_ids", "ghsa_ids", "body_sha", "ts", "truncated", "seq",
     )
     messages = materialize(messages, "messages")
     texts = messages.select(F.col("message_id").alias("mid"), "ts", "truncated", "seq").join(bodies, ["mid", "seq"]).select(F.col("mid").alias("message_id"), "body", "truncated", "ts")
