@@ -8,10 +8,13 @@ then more labels; at equal rank "allow" wins over "block".
 
 As-of join: a capture is looked up under each key that a pattern can have (its domain suffixes, and path
 prefixes as deep as the list's deepest). Each key has one row, its intervals in order, from which the one
-that holds the fetch time is taken, so the join never multiplies rows by a pattern's history.
+that holds the fetch time is taken, so the join never multiplies rows by a pattern's history. A pattern with more than
+`MOST_ENTRIES` intervals has a row for each of as many stretches of time as that asks for, with the intervals
+that reach into it, and is looked up by key and stretch; so no look-up carries a long history.
 
 Scale: only keys and times move, never pages. Hot keys are those of more than one in `HOT_SHARE` look-ups; at most
-HOT_SHARE keys can be, so their rows of the list are broadcast, and all others join by shuffle.
+HOT_SHARE keys can be, so their rows of the list, of MOST_ENTRIES intervals at most, are broadcast, and all others
+join by shuffle.
 
 Defined results: a null or unparsable url has an empty host and no match, as has a null fetch time; changes
 with a null pattern, action or date are ignored; of changes to a pattern at the same time a removal counts
@@ -24,9 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lettermill.operators.skew import join_unique
 from lettermill.session import materialize
 
 HOT_SHARE = 1000
+MOST_ENTRIES = 16
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 
@@ -69,7 +74,12 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     deepest = spans.agg(F.max(depth_of(F.col("pattern")))).first()[0] or 0
     labels = F.size(F.split(F.split_part("pattern", F.lit("/"), F.lit(1)), r"\."))
     entry = F.struct(depth_of(F.col("pattern")).alias("depth"), labels.alias("labels"), F.col("action"), "since", "until", "pattern")
-    history = spans.groupBy(F.col("pattern").alias("key")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    first, last = F.unix_seconds(F.min("since")), F.unix_seconds(F.max(F.greatest("since", F.coalesce("until", "since"))))
+    counted = spans.groupBy(F.col("pattern").alias("key")).agg(F.ceil(F.count("*") / MOST_ENTRIES).alias("parts"), first.alias("first"), last.alias("last"))
+    many = materialize(counted.filter("parts > 1").select("key", "parts", "first", ((F.col("last") - F.col("first")) / F.col("parts") + 1).alias("width")), "long-histories")
+    listed = spans.withColumn("key", F.col("pattern")).withColumn("entry", entry)
+    arrays = F.array_sort(F.collect_list("entry")).alias("entries")
+    history = listed.join(many, "key", "left_anti").groupBy("key").agg(arrays)
     rows = captures.select(F.monotonically_increasing_id().alias("_row"), F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("fetched_at").alias("at"))
     asked = rows.select("_row", "page_id", "host", "at", F.explode(F.concat(F.array(F.lit(None).cast("string")), keys_of(F.col("host"), F.col("path"), deepest))).alias("key"))
     asked = materialize(asked, "look-ups")
@@ -81,7 +91,15 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     from_hot = split.filter("hot and entries is not null").select("_row", "page_id", "host", "at", "entries")
     from_rest = split.filter("hot is null").drop("entries", "hot").join(history, "key").select("_row", "page_id", "host", "at", "entries")
     active = lambda e: (e["since"] <= F.col("at")) & (e["until"].isNull() | (F.col("at") < e["until"]))
-    found = from_hot.unionByName(from_rest).withColumn("entry", F.get(F.filter("entries", active), 0)).filter("entry is not null")
+    matched = from_hot.unionByName(from_rest)
+    if not many.isEmpty():
+        stretch = lambda t: F.greatest(F.lit(0), F.least(F.col("parts") - 1, F.floor((F.unix_seconds(t) - F.col("first")) / F.col("width")))).cast("long")
+        slot = lambda k: F.concat("key", F.lit(" "), k.cast("string")).alias("slot")
+        reach = F.sequence(stretch(F.col("since")), F.when(F.col("until").isNull(), F.col("parts") - 1).otherwise(stretch(F.col("until"))))
+        long = listed.join(many, "key").select("key", "entry", F.explode(reach).alias("k")).select(slot(F.col("k")), "entry").groupBy("slot").agg(arrays)
+        known = join_unique(looked, many, "key").select("_row", "page_id", "host", "at", slot(stretch(F.col("at"))))
+        matched = matched.unionByName(join_unique(known, materialize(long, "stretches"), "slot").select("_row", "page_id", "host", "at", "entries"))
+    found = matched.withColumn("entry", F.get(F.filter("entries", active), 0)).filter("entry is not null")
     rank = F.struct(F.col("entry.depth"), F.col("entry.labels"), (F.col("entry.action") == "allow").alias("allows"), F.col("entry.action"), F.col("entry.pattern"), F.col("entry.since"))
     every = asked.filter("key is null").select("_row", "page_id", "host", "at", F.lit(None).cast("struct<depth:int,labels:int,allows:boolean,action:string,pattern:string,since:timestamp>").alias("best"))
     best = found.select("_row", "page_id", "host", "at", rank.cast("struct<depth:int,labels:int,allows:boolean,action:string,pattern:string,since:timestamp>").alias("best"))

@@ -85,3 +85,16 @@ def test_random_lists(stored):
 def test_empty_tables(stored):
     assert run(stored, [], CHANGES)[1] == []
     assert run(stored, [(1, "http://bad.org", day(1))], [])[0] == {1: ("none", None)}
+
+
+def test_long_histories_are_looked_up_by_stretches_of_time(stored, monkeypatch):
+    monkeypatch.setattr(urlfilter, "MOST_ENTRIES", 2)
+    test_random_lists(stored)
+    test_verdicts_follow_the_time_of_the_fetch(stored)
+    rng = random.Random(4)
+    changes = [("a.org", "block" if k % 2 else "allow", "remove" if k % 3 == 2 else "add", T0 + timedelta(hours=k if k < 60 else 50 * k)) for k in range(90)]
+    captures = [(k, "http://x.a.org/", T0 + timedelta(hours=rng.uniform(-20, 4700))) for k in range(200)] + [(900, "http://a.org/", changes[40][3]), (901, "http://a.org/", changes[-1][3])]
+    got, _ = run(stored, captures, changes)
+    for page, _, at in captures:
+        state = next((c for c in reversed(changes) if c[3] <= at), None)
+        assert got[page] == ((state[1], "a.org") if state and state[2] == "add" else ("none", None))
