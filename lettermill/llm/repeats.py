@@ -17,7 +17,7 @@ Scale: no step compares documents; a passage in a third of all documents is one
 Documents are streamed into shards of `SHARD_TEXT` bytes, however large the input's partitions are (a single
 larger document is a shard). Buckets are as many as the size of the text asks for. Shards and tables of
 fragments have names and contents that depend on the input partition alone and are put in place by renaming,
-so repeated tasks are harmless. The sort holds `MEMORY_BYTES` of tuples; its files are spills of the task.
+so repeated tasks are harmless. Rows go to a shard's seat once: the grouping after it needs no further exchange. The sort holds `MEMORY_BYTES` of tuples; its files are spills of the task.
 
 Defined results: null text is empty; texts under LENGTH bytes lose nothing; repeated rows (equal doc_id) do
 not make each other go; null doc_id counts as largest; an empty table gives no rows; extra columns are
