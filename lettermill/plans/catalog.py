@@ -247,20 +247,10 @@ def j16_prefix_pairs(spark, d):
 # ---- graphs ----
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT 2 * l_orderkey AS a, 2 * l_partkey + 1 AS b FROM lineitem WHERE l_quantity <= 3),
-w AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS seen FROM w UNION SELECT r.node, w.b FROM r JOIN w ON r.seen = w.a)
-SELECT node, min(seen) AS component FROM r GROUP BY node""")
+@query(None)  # the largest component is too large for recursive SQL; g4_thread_members has SQL
 def g2_components(spark, d):
-    return connected_components(_order_parts(table(spark, d, "lineitem").filter("l_quantity <= 3")))
-
-
-def _order_parts(lines: DataFrame) -> DataFrame:
-    return lines.select((2 * F.col("l_orderkey")).alias("src"), (2 * F.col("l_partkey") + 1).alias("dst"))
-
-
-@query(None)  # g2_components on the whole graph, whose largest component is too large for recursive SQL
-def g2_all_components(spark, d):
-    return connected_components(_order_parts(table(spark, d, "lineitem")))
+    lines = table(spark, d, "lineitem")
+    return connected_components(lines.select((2 * F.col("l_orderkey")).alias("src"), (2 * F.col("l_partkey") + 1).alias("dst")))
 
 
 @query("""WITH m AS (SELECT conv_id || '.' || turn AS mid, CASE WHEN turn > 0 AND turn <> 3 THEN conv_id || '.' || (turn - 1) END AS irt, conv_id, turn FROM conversations),

@@ -66,7 +66,7 @@ def test_whole_tables_are_compared(spark, tmp_path):
     for order, part, _ in lines:
         a, b = find(2 * order), find(2 * part + 1)
         parent[max(a, b)] = min(a, b)
-    got = {r["node"]: r["component"] for r in catalog.queries()["g2_all_components"](spark, str(tmp_path)).collect()}
+    got = {r["node"]: r["component"] for r in catalog.queries()["g2_components"](spark, str(tmp_path)).collect()}
     assert got == {x: find(x) for x in list(parent)} and max(map(list(got.values()).count, set(got.values()))) > 400
     spark.createDataFrame([(k, f"text {k % 7}", f"src{k % 3}") for k in range(30)] + [(99, None, "src0")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "text 1"), (2, "text 2")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
