@@ -228,6 +228,13 @@ def j5_diff_against(spark, d):
     return dedup.unseen(docs, table(spark, d, "benchmark").select(digest), order="doc_id").select("doc_id")
 
 
+@query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE d.text = b.text)")
+def j5_all_diff_against(spark, d):
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    docs = table(spark, d, "documents").select("doc_id", digest.alias("mid"))
+    return validate.orphans(docs, table(spark, d, "benchmark").select(digest.alias("known")), "mid", "known").select("doc_id")
+
+
 @query("""WITH a AS (SELECT sha256(text) AS mid, doc_id AS seq FROM documents WHERE doc_id % 2 = 1), k AS (SELECT sha256(text) AS mid FROM documents WHERE doc_id % 2 = 0)
 SELECT mid, min(seq) AS seq FROM a WHERE mid NOT IN (SELECT mid FROM k) GROUP BY mid""")
 def j6_ingest_precheck(spark, d):
