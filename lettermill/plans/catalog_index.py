@@ -182,7 +182,7 @@ def s13_manifest(spark, d):
 def s16_last_row(spark, d):
     newest = newest_ts(_published(spark, d)[2].messages)
     last = _lines(spark, d).agg(F.max_by("message_id", F.struct("shard", "row")).alias("last_id"))
-    return last.select(F.lit(newest).alias("newest"), "last_id")
+    return last.select(F.lit(newest).cast("long").alias("newest"), "last_id")
 
 
 @query("SELECT 'messages/1999.jsonl' AS gone UNION ALL SELECT 'cves/1066.json'")
