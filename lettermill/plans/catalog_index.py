@@ -59,12 +59,12 @@ def made_log(spark: SparkSession, d: str, times: int = 1) -> DataFrame:
     scraped = F.concat(F.lit("X-Archive-Source: scrape\nX-Archive-Source-URL: https://archive.example.org/list/2024/01/01/"), k(doc), F.lit("\n"))
     full = docs.select((2 * doc).alias("seq"), F.concat(head, reply, F.lit("\n"), "text").alias("raw"))
     again = docs.filter("doc_id % 3 = 0").select((2 * doc + 1).alias("seq"), F.concat(scraped, head, F.lit("\n"), "text", F.lit("\nfooter")).alias("raw"))
-    # A log comes in ranges of commits, whatever files the documents are in.
-    return _stored(full.unionByName(again).repartition(2 * shuffle_width(spark), "seq"))
+    return _stored(full.unionByName(again))
 
 
 def _stored(rows: DataFrame) -> DataFrame:
-    raw = rows.withColumn("raw", F.encode("raw", "UTF-8"))
+    # A log comes in ranges of commits, whatever files its stand-in is in.
+    raw = rows.repartition(2 * shuffle_width(rows.sparkSession), "seq").withColumn("raw", F.encode("raw", "UTF-8"))
     return raw.select("seq", F.lit(0).alias("epoch"), F.lit("c").alias("commit"), F.lit(32503680000).cast("long").alias("commit_ts"), ids.blob_id(F.col("raw")).alias("blob"), "raw")
 
 
