@@ -139,3 +139,17 @@ def test_order_and_reference_checks(rows):
     assert [r["id"] for r in validate.orphans(lines, rows([("a",), ("b",), ("d",)], "k string"), "id", "k").collect()] == ["c"]
     sides = validate.both_ways(rows([(1,), (2,)], "k long"), rows([(2,), (3,)], "k long"), ["k"])
     assert sorted(tuple(r) for r in sides.collect()) == [(1, "left"), (3, "right")]
+
+
+def test_computed_tables_are_written_before_rows_are_numbered(spark, rows, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lettermill.session import rereadable
+
+    rows([(k,) for k in range(50)], "k long").write.parquet(f"{tmp_path}/t")
+    scan = spark.read.parquet(f"{tmp_path}/t")
+    for plain in (scan, scan.filter("k > 3").select((F.col("k") + 1).alias("k"))):
+        assert rereadable(plain) is plain
+    for computed in (scan.repartition(3), scan.filter(F.rand() < 0.5), scan.groupBy("k").count(), scan.join(scan, "k"), scan.limit(5), scan.withColumn("k", F.rand())):
+        written = rereadable(computed)
+        assert written is not computed and written.columns == computed.columns and rereadable(written) is written
