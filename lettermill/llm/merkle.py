@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lettermill.session import rereadable
+
 RANGE_ROWS = 2048
 MOST_RANGES = 100_000
 MOST_LEAVES = 256
@@ -245,6 +247,7 @@ def _composite(*columns: np.ndarray) -> np.ndarray:
 def compare_neighbours(docs: DataFrame) -> DataFrame:
     """The operator: each document against its edited text and the next document, ascending doc_id."""
     spark = docs.sparkSession
+    docs = rereadable(docs)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # The salt parts copies of a row, which are in no order; it decides on ranges only.

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.llm.secrets import with_text
-from lettermill.session import materialize, shuffle_width
+from lettermill.session import materialize, rereadable, shuffle_width
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -107,6 +107,7 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix as documents: a row for each pass over a document, cut to the words taken, by position."""
+    docs = rereadable(docs)
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
     sizes = numbered.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.source").cast("string").alias("source"), word_count(F.col("doc.text")).alias("size"), F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("chunk"), "_row")
     plan = placed(materialize(sizes, "sizes"), **settings).filter("taken > 0")

@@ -21,7 +21,7 @@ so repeated tasks are harmless. Rows go to a shard's seat once: the grouping aft
 
 Defined results: null text is empty; texts under LENGTH bytes lose nothing; repeated rows (equal doc_id) do
 not make each other go; null doc_id counts as largest; an empty table gives no rows; extra columns are
-ignored. The input must be readable again with the same rows in each partition, as a table is.
+ignored. An input that is no table is written first, so that repeated tasks read the same rows.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.llm.suffixes import MEMORY_BYTES, suffixes
-from lettermill.session import make_folder, materialize, scratch, shuffle_width
+from lettermill.session import make_folder, materialize, rereadable, scratch, shuffle_width
 
 LENGTH = 50
 GRAM = 20
@@ -433,6 +433,7 @@ def _remove(folder: str):
 def remove_repeats(docs: DataFrame, bucket_text: int = BUCKET_TEXT) -> DataFrame:
     """The operator: doc_id, n_bytes, n_removed, n_spans, kept_sha256; one row for each document."""
     spark = docs.sparkSession
+    docs = rereadable(docs)
     folder = make_folder(spark, scratch(spark, "shards"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("key"), text.alias("text"))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lettermill.session import materialize
+from lettermill.session import materialize, rereadable
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # the + form with 16+ characters: a run that is too short has no longer one inside
@@ -110,6 +110,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """Documents with every reported span replaced by a mask; n_chars follows the text."""
+    docs = rereadable(docs)
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
     hits = find_secrets(docs).filter(F.size("ranges") > 0).select(F.col("_row").alias("_hit"), "ranges")
     text = F.col("doc").getField("text")

@@ -24,8 +24,7 @@ components of all links follow from the forests.
 Defined results: a text without words (null, empty) has fingerprint 0, linked like any other; a text with
 fewer words than a shingle has is one shingle; repeated rows share a fingerprint and each get a row; a null doc_id is
 kept and ranked after all others; an empty table gives no rows; extra columns are ignored. keep_one breaks ties
-of doc_id by the place of the row; its input must be readable again with the same rows in each partition, as a
-table is.
+of doc_id by the place of the row; an input that is no table is written first.
 """
 
 from __future__ import annotations
@@ -42,7 +41,7 @@ from pyspark.sql import functions as F
 
 from lettermill.operators.components import connected_components
 from lettermill.operators.skew import join_unique
-from lettermill.session import materialize, shuffle_width
+from lettermill.session import materialize, rereadable, shuffle_width
 
 SHINGLE = 4
 DISTANCE = 4
@@ -432,6 +431,7 @@ def keep_one(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = S
             fps = [wide_fingerprint(x.as_py(), shingle) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(fps, pa.binary())], names=["row", "doc_id", "fp"])
 
+    docs = rereadable(docs)
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
     text = F.coalesce(F.col("doc.text").cast("string"), F.lit("")).cast("binary")
     prints = numbered.select(F.col("_row").alias("row"), F.col("doc.doc_id").cast("long").alias("doc_id"), text.alias("text")).mapInArrow(run, "row long, doc_id long, fp binary")

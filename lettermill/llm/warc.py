@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettermill.operators.skew import join_unique
-from lettermill.session import make_folder, materialize, scratch
+from lettermill.session import make_folder, materialize, rereadable, scratch
 
 MAGIC = b"WARC/1.0\r\n"
 HEADER_BYTES = 64 << 10  # are read beyond a split at first; a header that is longer is read on
@@ -90,6 +90,7 @@ def revisits_of(told: str, row: int) -> dict[int, int | None]:
 
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write all pages as records; the manifest of the archives written."""
+    pages = rereadable(pages)
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.monotonically_increasing_id().alias("_row"), F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     digests = materialize(rows.select("_row", "page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("length")), "digests")

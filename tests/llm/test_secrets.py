@@ -116,3 +116,9 @@ def test_linking_against_every_pair_of_parts(docs_of):
     for k, text in enumerate(texts):
         assert rows[k] == linked(text), text
     assert rows[250] == rows[251] == "" and "weak_secret" in rows[252]
+
+
+def test_masks_of_a_computed_table_hit_their_own_texts(docs_of):
+    texts = [f"{k} {KEY} end" if k % 3 == 0 else f"{k} clean words" for k in range(60)]
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs_of(texts).repartition(5).orderBy("n_chars")).collect()}
+    assert masked == {k: t.replace(KEY, "[REDACTED]") for k, t in enumerate(texts)}
