@@ -8,9 +8,10 @@ keys, and neighbouring strings mostly share one, so a run of strings with one ke
    once, to the key's bucket; a bucket answers with the keys that more than one document has.
 2. For each shard, the fragments of such keys are cut, equal ones once with their least doc_id, and sent to
    buckets by key. A bucket sorts the suffixes of its distinct fragments by external induction (see `suffixes`;
-   a fragment that is alone with its key can match nothing and is not sorted). The common prefixes that come
-   with the suffixes part them into runs that agree in `LENGTH` bytes, and the bucket answers, string by
-   string, with the least doc_id that has it.
+   a fragment that is alone with its key can match nothing and is not sorted, and of the others only strings
+   whose hash another string has are, as keys are often shared by chance). The common prefixes that come
+   with the suffixes part them into runs that agree in `LENGTH` bytes, and the bucket answers,
+   string by string, with the least doc_id that has it.
 3. For each shard, the strings that have a smaller doc_id cover the bytes to remove.
 
 Scale: no step compares documents; a passage in a third of all documents is one fragment for each shard.
@@ -42,7 +43,7 @@ from lettermill.session import make_folder, materialize, rereadable, scratch, sh
 
 LENGTH = 50
 GRAM = 20
-STRETCH = 2 << 20
+STRETCH = 128 << 10  # working arrays of 1 MB, which stay in a core's cache
 BUCKET_TEXT = 16 << 20
 SHARD_TEXT = 64 << 20
 SHARD_BITS = 20  # of a shard's number that count within a partition
@@ -50,18 +51,25 @@ NOBODY = (1 << 63) - 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def string_keys(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Key of the string at each place: the least mixed hash of its GRAM-byte parts; even numbers."""
+def part_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the `size` bytes at each place: a polynomial, put together from parts of 1, 2, 4 ... bytes."""
     h = data.astype(np.uint64)
     h += np.uint64(1)
-    p, size, at = int(MIX), 1, {}
-    while size <= GRAM:
-        at[size] = (h, np.uint64(p))
-        h = h[:-size] * np.uint64(p) + h[size:]
+    p, step, done, out = int(MIX), 1, 0, h
+    while True:
+        if size & step:
+            out = out[: len(h) - done] * np.uint64(p) + h[done:] if done else h
+            done += step
+        if done == size:
+            return out
+        h = h[:-step] * np.uint64(p) + h[step:]
         p = p * p % (1 << 64)
-        size *= 2
-    (long, p16), (short, p4) = at[16], at[4]
-    x = long[:-4] * p4 + short[16:]
+        step *= 2
+
+
+def string_keys(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Key of the string at each place: the least mixed hash of its GRAM-byte parts; even numbers."""
+    x = part_hashes(data, GRAM)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
@@ -200,7 +208,7 @@ def _send_keys(docs: DataFrame, folder: str, buckets: int) -> DataFrame:
             found_keys.append(keys)
             found_docs.append(doc + first)
         keys, docs_of = np.concatenate(found_keys), np.concatenate(found_docs)
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys, docs_of = keys[order], docs_of[order]
         heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, dtype=np.int64)
         shared = np.maximum.reduceat(docs_of, heads) != np.minimum.reduceat(docs_of, heads) if len(keys) else np.empty(0, dtype=bool)
@@ -340,11 +348,25 @@ def rivals(texts: list[bytes]) -> np.ndarray:
     for _, data, bounds in stretches(texts):
         keys.append(string_keys(data)[bounds[:-1]])
     keys = np.concatenate(keys)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     same = np.append(False, keys[order][1:] == keys[order][:-1])
     return np.sort(order[same | np.append(same[1:], False)])
 
 
+def repeated(texts: list[bytes]) -> np.ndarray:
+    """For each string of the texts, in order: whether another one has its hash. If none has, it has no equal."""
+    found = []
+    for _, data, bounds in stretches(texts):
+        counts = np.diff(bounds) - LENGTH + 1
+        found.append(part_hashes(data, LENGTH)[np.repeat(bounds[:-1] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())])
+    hashes = np.concatenate(found)
+    order = np.argsort(hashes)
+    same = np.append(False, hashes[order[1:]] == hashes[order[:-1]])
+    out = np.empty(len(hashes), dtype=bool)
+    out[order] = same | np.append(same[1:], False)
+    return out
+
+
 def _answer_fragments(table: pa.Table) -> pa.Table:
     """Step 2, second half: of one bucket, for each shard, the least doc_id of each string of its fragments."""
     number: dict[bytes, int] = {}
@@ -365,13 +387,21 @@ def _answer_fragments(table: pa.Table) -> pa.Table:
     least = np.repeat(owner, counts)  # right wherever no other fragment has the key
     rival = rivals(texts)
     if len(rival):
-        size = lengths[rival]
-        begins = np.cumsum(size + 1) - size - 1
         own = counts[rival]
         turn = np.cumsum(own) - own
-        each = np.arange(own.sum())
-        found = least_owners(joined([texts[k] for k in rival.tolist()]), np.repeat(begins - turn, own) + each, np.repeat(owner[rival], own))
-        least[np.repeat(offset[rival] - turn, own) + each] = found
+        twice = repeated([texts[k] for k in rival.tolist()])
+        text_of = np.repeat(np.arange(len(rival)), own)
+        at = np.arange(len(twice)) - turn[text_of]  # in its fragment
+        asked = np.flatnonzero(twice)
+        if len(asked):
+            head = np.append(True, (np.diff(asked) > 1) | (at[asked[1:]] == 0))
+            first = asked[head]
+            size = np.diff(np.append(np.flatnonzero(head), len(asked)))
+            begins = np.cumsum(size + LENGTH) - size - LENGTH
+            whose = rival[text_of[first]]
+            pieces = [texts[k][a : a + n + LENGTH - 1] for k, a, n in zip(whose.tolist(), at[first].tolist(), size.tolist(), strict=True)]
+            starts = np.repeat(begins - np.cumsum(size) + size, size) + np.arange(len(asked))
+            least[offset[rival[text_of[asked]]] + at[asked]] = least_owners(joined(pieces), starts, np.repeat(owner[whose], size))
     out = []
     for ids, own_lengths, _ in parts:
         own_counts = own_lengths - LENGTH + 1

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from lettermill.llm import repeats
 from lettermill.llm import suffixes as sorting
@@ -119,6 +121,32 @@ def test_shards_smaller_than_a_partition(docs_of, monkeypatch):
     assert run(docs_of, docs, bucket_text=700) == brute(docs)
 
 
+def test_of_fragments_with_one_key_only_strings_that_occur_twice_are_sorted(monkeypatch):
+    rng = random.Random(11)
+    words = ["harvest", "lantern", "meadows", "orchard", "quarrel", "village", "whisper", "yonder"]
+    docs = [" ".join(rng.choice(words) for _ in range(30)).encode() for _ in range(60)]
+    docs.append(docs[0][20:150] + b"!" + docs[1][:90])
+    _, data, bounds = next(repeats.stretches(docs))
+    doc, start, count, _ = repeats.runs(data, bounds)
+    raw, owner = data.tobytes(), {}
+    for d, a, n in zip(doc.tolist(), start.tolist(), count.tolist(), strict=True):
+        piece = raw[a : a + n + 49]
+        owner[piece] = min(owner.get(piece, 1000), 1000 - d)
+    packed = [repeats._pack(np.array([len(x) for x in owner], dtype="<u4")), repeats.zstandard.compress(b"".join(owner)), repeats._pack(np.array(list(owner.values()), dtype="<i8"))]
+    table = pa.table({"bucket": pa.array([0], pa.int32()), "shard": [0], "sizes": [packed[0]], "text": [packed[1]], "least": [packed[2]]})
+    asked, least_owners = [], repeats.least_owners
+    monkeypatch.setattr(repeats, "least_owners", lambda text, starts, owners: asked.append(len(starts)) or least_owners(text, starts, owners))
+    answer = repeats._answer_fragments(table)
+    at, least = (repeats._unpack(answer.column(c)[0].as_py(), "<i8") for c in ("at", "least"))
+    strings = [(x[k : k + 50], i) for x, i in owner.items() for k in range(len(x) - 49)]
+    best = {}
+    for x, i in strings:
+        best[x] = min(best.get(x, i), i)
+    assert np.repeat(least, np.diff(at)).tolist() == [best[x] for x, _ in strings]
+    times = Counter(x for x, _ in strings)
+    assert 0 < sum(asked) == sum(n for n in times.values() if n > 1) < len(strings) / 2
+
+
 def test_keys_are_equal_for_equal_strings():
     rng = np.random.default_rng(2)
     data = rng.integers(0, 3, 4000).astype(np.uint8)
