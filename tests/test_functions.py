@@ -100,3 +100,7 @@ def test_mime():
 def test_sanitizing_finds_the_boundary_once():
     said = str(mail.sanitized(F.col("hs"), "hop"))
     assert said.count("split(") == 1 and said.count("filter(") < 10  # a lambda evaluates what it names for each header
+
+
+def test_residual_headers_find_the_boundary_once():
+    assert str(mail.residual(F.col("hs"), "hop")).count("split(") == 1
