@@ -104,3 +104,7 @@ def test_sanitizing_finds_the_boundary_once():
 
 def test_residual_headers_find_the_boundary_once():
     assert str(mail.residual(F.col("hs"), "hop")).count("split(") == 1
+
+
+def test_received_clauses_cut_words_once():
+    assert str(mail.trace_clause(F.col("c"), "by")).count("split(") == 1
