@@ -108,3 +108,7 @@ def test_residual_headers_find_the_boundary_once():
 
 def test_received_clauses_cut_words_once():
     assert str(mail.trace_clause(F.col("c"), "by")).count("split(") == 1
+
+
+def test_boundary_reads_each_received_header_once():
+    assert str(mail.boundary(F.col("hs"), "hop")).count("split(") == 1
