@@ -112,3 +112,9 @@ def test_received_clauses_cut_words_once():
 
 def test_boundary_reads_each_received_header_once():
     assert str(mail.boundary(F.col("hs"), "hop")).count("split(") == 1
+
+
+def test_dates_are_cleaned_once(spark):
+    assert str(mail.mail_date(F.col("c"))).count("regexp_replace") < 10
+    for said, want in (("1 Jan 1970 00:00 EST", 18_000), ("Thu, 1 Jan 1970 01:00:01 +0100 (x)", 1), ("1 Jan 1970 00:00 pdt ", 25_200), ("31 Feb 1970 00:00 GMT", None), ("1 Jan 1970 00:00 ABC", None)):
+        assert one(spark, mail.mail_date(F.col("c")), c=said) == want
