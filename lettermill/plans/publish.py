@@ -16,6 +16,7 @@ from lettermill.functions.ids import from_iso
 from lettermill.operators import validate
 from lettermill.plans.index import build
 from lettermill.profile import Profile
+from lettermill.session import materialize
 from lettermill.sinks.export import _fs, export, newest_ts, put_document, status_document
 from lettermill.sources import shards
 
@@ -56,7 +57,7 @@ def check(spark: SparkSession, index: str, stored: DataFrame | None = None, most
     checks = [validate.check_messages(messages), validate.check_bodies(messages, bodies)]
     checks += [validate.check_mentions(shards.read_mentions(spark, index, kind), messages, kind) for kind in ("cves", "ghsas")]
     checks.append(validate.check_manifest(shards.manifest_rows(spark, manifest), shards.measured_files(spark, index)))
-    found = reduce(DataFrame.unionByName, checks)
+    found = materialize(reduce(DataFrame.unionByName, checks), "violations")  # counted and read
     said = document_violations(manifest)
     copies = messages.agg(F.count("*") + F.coalesce(F.sum(F.size("duplicates")), F.lit(0))).first()[0]
     if copies != manifest.get("total_stored"):

@@ -161,3 +161,15 @@ def test_short_copies_differ_as_the_sql_says(spark, tmp_path):
     texts = [(2, "x" * 190 + " ab@host.example.org and more"), (5, "y" * 200 + "   "), (3, "a" * 195 + "\n>>From b, and more"), (8, "short")]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert dict(map(tuple, queries()["j16_prefix_pairs"](spark, str(tmp_path)).collect())) == {2: True, 5: True, 3: False, 8: False}
+
+
+def test_bodies_and_messages_numbered_apart_meet_by_place(rows):
+    from hashlib import sha256
+
+    sha = lambda x: sha256(x.encode()).hexdigest()[:12]
+    ids = [("2010", k, f"m{k}", f"b{k}") for k in range(5)]
+    messages = rows([(s, 7 + 3 * k, m, sha(b)) for s, k, m, b in ids], "shard string, row long, message_id string, body_sha string")
+    bodies = rows([(s, 100 + 2**33 * k, m, b) for s, k, m, b in ids], "shard string, row long, message_id string, body string")
+    assert validate.check_bodies(messages, bodies).collect() == []
+    assert [tuple(r) for r in validate.check_bodies(messages, bodies.filter("message_id <> 'm4'")).collect()] == [("V13", "2010", "m4", "message only")]
+    assert [r["check"] for r in validate.check_bodies(messages, bodies.replace("b2", "b9", ["body"])).collect()] == ["V12"]
