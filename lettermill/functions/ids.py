@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The identifier alphabets.
-CVE = r"(?i)(?<![A-Za-z0-9_])(CVE-[0-9]{4}-[0-9]{4,})(?![A-Za-z0-9_])"
-GHSA = r"(?i)(?<![A-Za-z0-9_])GHSA((?:-[23456789cfghjmpqrvwx]{4}){3})(?![A-Za-z0-9_])"
+#: The identifier alphabets. What stands before is looked at only where the first letter is met.
+CVE = r"(?i)(C(?<![A-Za-z0-9_]C)VE-[0-9]{4}-[0-9]{4,})(?![A-Za-z0-9_])"
+GHSA = r"(?i)G(?<![A-Za-z0-9_]G)HSA((?:-[23456789cfghjmpqrvwx]{4}){3})(?![A-Za-z0-9_])"
 GHSA_FORM = r"^GHSA(-[23456789cfghjmpqrvwx]{4}){3}$"
 
 

@@ -54,26 +54,15 @@ def body_sha(c: Column) -> Column:
     return F.left(F.sha2(c.cast("binary"), 256), F.lit(12))
 
 
-@F.pandas_udf(StringType())
-def _cut(texts: pd.Series, limits: pd.Series) -> pd.Series:
-    def one(text: str, limit: int) -> str:
-        raw = text.encode()
-        at = raw.rfind(b"\n", 0, limit) + 1
-        if not at:
-            at = limit
-            while at > 0 and raw[at] & 0xC0 == 0x80:
-                at -= 1
-        return raw[:at].decode()
-
-    return pd.Series([one(t, n) for t, n in zip(texts, limits, strict=True)])
-
-
 def truncate(c: Column, limit: int = BODY_LIMIT) -> Column:
-    """At most `limit` bytes: up to the last line break within, or else to a character's end.
-
-    Only longer texts reach Python, as batches of their own.
-    """
-    return F.when(F.octet_length(c) <= limit, c).otherwise(_cut(F.when(F.octet_length(c) > limit, c).otherwise(F.lit("x\n")), F.when(F.octet_length(c) > limit, F.lit(limit)).otherwise(F.lit(2))))
+    """At most `limit` bytes: up to the last line break within, or else to a character's end."""
+    raw = c.cast("binary")
+    start = F.substring(raw, 1, limit).cast("string")
+    rest = F.octet_length(F.substring_index(start, "\n", -1))  # behind the last line break
+    inside = lambda k: F.substring(raw, limit + 1 - k, 1).between(F.lit(b"\x80"), F.lit(b"\xbf"))  # noqa: E731  a character goes on there
+    whole = F.when(~inside(0), limit).when(~inside(1), limit - 1).when(~inside(2), limit - 2).otherwise(limit - 3)
+    at = F.when(F.contains(start, F.lit("\n")), limit - rest).otherwise(whole)
+    return F.when(F.octet_length(c) <= limit, c).otherwise(F.substring(raw, F.lit(1), at).cast("string"))
 
 
 def json_string(c: Column) -> Column:

@@ -118,3 +118,14 @@ def test_dates_are_cleaned_once(spark):
     assert str(mail.mail_date(F.col("c"))).count("regexp_replace") < 10
     for said, want in (("1 Jan 1970 00:00 EST", 18_000), ("Thu, 1 Jan 1970 01:00:01 +0100 (x)", 1), ("1 Jan 1970 00:00 pdt ", 25_200), ("31 Feb 1970 00:00 GMT", None), ("1 Jan 1970 00:00 ABC", None)):
         assert one(spark, mail.mail_date(F.col("c")), c=said) == want
+
+
+def test_truncate_needs_no_python(spark):
+    texts = ["ab\ncdefgh", "äöüßäöü", "a€€€€€€", "x😀😀😀", "\nabcdefghij", "abcdefgh", ""]
+    for limit in range(4, 9):
+        got = spark.createDataFrame([(x,) for x in texts], "c string").select("c", text.truncate(F.col("c"), limit).alias("t"))
+        assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+        for c, t in got.collect():
+            raw = c.encode()
+            cut = raw[: raw.rfind(b"\n", 0, limit) + 1] or raw[:limit].decode(errors="ignore").encode()
+            assert t.encode() == (raw if len(raw) <= limit else cut)
