@@ -186,3 +186,10 @@ def test_logs(spark, tmp_path):
     (tmp_path / "box/cur/1").write_bytes(b"a")
     (tmp_path / "box/tmp/2").write_bytes(b"b")
     assert [bytes(r["raw"]) for r in archive.maildir(spark, f"file://{tmp_path}/box").select(F.col("raw")).collect()] == [b"a"]
+
+
+def test_documents_are_spread_before_messages_are_made(spark):
+    from lettermill.plans import catalog_index
+
+    plan = catalog_index.made_log(spark, "/root/testdata/sf0.001", 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange")  # printed from the top
