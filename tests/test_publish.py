@@ -171,3 +171,13 @@ def test_file_sinks(spark, tmp_path):
     text = [r["value"] for r in spark.read.text(f"file://{tmp_path}/errors").collect()]
     assert text[:4] == ["errors: 3", "       2 bad", "       1 worse", ""] and len(text) == 7
     assert logs.write_report(logs.error_report(lines.limit(0)), lines.limit(0), f"file://{tmp_path}/nothing", "errors") == 0 and not (tmp_path / "nothing").exists()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kept_sets_parse_mail_once(spark):
+    from lettermill.plans.catalog import queries
+
+    assert "Python" not in _plan(queries()["j7_keep_set_of_parsed"](spark, "/root/testdata/sf0.001"))
