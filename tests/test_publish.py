@@ -181,3 +181,9 @@ def test_kept_sets_parse_mail_once(spark):
     from lettermill.plans.catalog import queries
 
     assert "Python" not in _plan(queries()["j7_keep_set_of_parsed"](spark, "/root/testdata/sf0.001"))
+
+
+def test_purge_sets_parse_mail_once(spark):
+    from lettermill.plans.catalog import queries
+
+    assert "Python" not in _plan(queries()["f8_scraped"](spark, "/root/testdata/sf0.001"))
