@@ -187,3 +187,12 @@ def test_purge_sets_parse_mail_once(spark):
     from lettermill.plans.catalog import queries
 
     assert "Python" not in _plan(queries()["f8_scraped"](spark, "/root/testdata/sf0.001"))
+
+
+def test_swapped_log_is_rewritten_once(spark, monkeypatch):
+    from lettermill.plans.catalog import queries
+
+    given = []
+    monkeypatch.setattr(publish, "replace_log", lambda rewritten, out: (given.append(_plan(rewritten)), rewritten.write.mode("overwrite").parquet(out)))
+    assert queries()["t8_log_swapped"](spark, "/root/testdata/sf0.001").first()["unexpected"] == 0
+    assert len(given) == 2 and not any("regexp" in x for x in given)
