@@ -196,3 +196,11 @@ def test_swapped_log_is_rewritten_once(spark, monkeypatch):
     monkeypatch.setattr(publish, "replace_log", lambda rewritten, out: (given.append(_plan(rewritten)), rewritten.write.mode("overwrite").parquet(out)))
     assert queries()["t8_log_swapped"](spark, "/root/testdata/sf0.001").first()["unexpected"] == 0
     assert len(given) == 2 and not any("regexp" in x for x in given)
+
+
+def test_links_need_no_export(spark, monkeypatch):
+    from lettermill.plans import catalog_index
+
+    monkeypatch.setattr(catalog_index, "export", None)
+    monkeypatch.setattr(catalog_index, "_PUBLISHED", {})
+    assert catalog_index.x27_urls(spark, "/root/testdata/sf0.001").count() > 0
