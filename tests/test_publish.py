@@ -204,3 +204,10 @@ def test_links_need_no_export(spark, monkeypatch):
     monkeypatch.setattr(catalog_index, "export", None)
     monkeypatch.setattr(catalog_index, "_PUBLISHED", {})
     assert catalog_index.x27_urls(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_rewriting_finds_each_boundary_once(spark):
+    from lettermill.plans.catalog import queries
+
+    plan = spark._jvm.PythonSQLUtils.explainString(queries()["k14_rewritten_log"](spark, "/root/testdata/sf0.001")._jdf.queryExecution(), "simple")
+    assert 0 < plan.count("split(trim") < 3  # words of Received headers are cut once to strip, once to tell what stays
