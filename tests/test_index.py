@@ -193,3 +193,10 @@ def test_documents_are_spread_before_messages_are_made(spark):
 
     plan = catalog_index.made_log(spark, "/root/testdata/sf0.001", 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange")  # printed from the top
+
+
+def test_dates_of_received_headers_are_cleaned_once():
+    from lettermill.plans import index
+    from lettermill.profile import Profile
+
+    assert str(index._received_date(F.col("hs"), Profile(hop="hop"))).count("regexp_replace") < 10
