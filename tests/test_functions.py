@@ -97,20 +97,20 @@ def test_mime():
     assert (sender, subject, body) == (None, None, "one\n\ntwo & three")
 
 
-def test_sanitizing_finds_the_boundary_once():
+def test_sanitizing_finds_the_boundary_once(spark):
     said = str(mail.sanitized(F.col("hs"), "hop"))
     assert said.count("split(") == 1 and said.count("filter(") < 10  # a lambda evaluates what it names for each header
 
 
-def test_residual_headers_find_the_boundary_once():
+def test_residual_headers_find_the_boundary_once(spark):
     assert str(mail.residual(F.col("hs"), "hop")).count("split(") == 1
 
 
-def test_received_clauses_cut_words_once():
+def test_received_clauses_cut_words_once(spark):
     assert str(mail.trace_clause(F.col("c"), "by")).count("split(") == 1
 
 
-def test_boundary_reads_each_received_header_once():
+def test_boundary_reads_each_received_header_once(spark):
     assert str(mail.boundary(F.col("hs"), "hop")).count("split(") == 1
 
 

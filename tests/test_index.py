@@ -195,7 +195,7 @@ def test_documents_are_spread_before_messages_are_made(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange")  # printed from the top
 
 
-def test_dates_of_received_headers_are_cleaned_once():
+def test_dates_of_received_headers_are_cleaned_once(spark):
     from lettermill.plans import index
     from lettermill.profile import Profile
 
